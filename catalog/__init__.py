@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["spans"]
+MODULES = ["spans", "tables"]
 
 
 def load_all() -> None:

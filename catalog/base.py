@@ -158,7 +158,7 @@ class Data:
         return self.sql(text)
 
     def sql(self, text: str) -> DataFrame:
-        used = {n: self[n] for n in re.findall(r"\{(\w+)\}", text)}
+        used = {n: self[n] for n in re.findall(r"\{([a-z_]\w*)\}", text)}
         return self.spark.sql(text, **used)
 
     def project(self) -> dict[str, DataFrame]:
@@ -179,14 +179,14 @@ def _oracle_text(sql: str) -> str:
     needed: list[str] = []
 
     def visit(text):
-        for name in re.findall(r"\{(\w+)\}", text):
+        for name in re.findall(r"\{([a-z_]\w*)\}", text):
             if name in VIEWS and name not in needed:
                 body = _ORACLE_TRANSCRIPT if name == "v_transcript" else VIEWS[name]
                 visit(body)
                 needed.append(name)
 
     visit(sql)
-    plain = lambda text: re.sub(r"\{(\w+)\}", r"\1", text)
+    plain = lambda text: re.sub(r"\{([a-z_]\w*)\}", r"\1", text)
     views = [
         f"{n} AS ({plain(_ORACLE_TRANSCRIPT if n == 'v_transcript' else VIEWS[n])})" for n in needed
     ]

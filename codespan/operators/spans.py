@@ -31,27 +31,21 @@ def merge_spans(
     however many spans were laid over that text.
     """
     first = first or []
-    tie = tie or []
-    carried = F.struct(*[F.col(c) for c in first]) if first else F.struct(F.lit(0).alias("_"))
-    starts = df.groupBy(*group, "start0").agg(
-        F.max("end0").alias("end0"),
-        F.min_by(carried, F.struct("end0", *tie)).alias("_first"),
-    )
+    if first:
+        begin = [F.min_by(F.struct(*first), F.struct("end0", *(tie or []))).alias("_first")]
+        keep = [F.min_by("_first", "start0").alias("_first")]
+    else:
+        begin = keep = []
+    starts = df.groupBy(*group, "start0").agg(F.max("end0").alias("end0"), *begin)
     ordered = Window.partitionBy(*group).orderBy("start0")
     reach = F.max("end0").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    islands = (
-        starts.withColumn("_reach", reach)
-        .withColumn(
-            "_island",
-            F.sum(
-                F.when(F.col("_reach").isNull() | (F.col("start0") >= F.col("_reach")), 1).otherwise(0)
-            ).over(ordered.rowsBetween(Window.unboundedPreceding, 0)),
-        )
+    fresh = F.col("_reach").isNull() | (F.col("start0") >= F.col("_reach"))
+    islands = starts.withColumn("_reach", reach).withColumn(
+        "_island",
+        F.sum(F.when(fresh, 1).otherwise(0)).over(ordered.rowsBetween(Window.unboundedPreceding, 0)),
     )
     merged = islands.groupBy(*group, "_island").agg(
-        F.min_by("_first", "start0").alias("_first"),
-        F.min("start0").alias("start0"),
-        F.max("end0").alias("end0"),
+        F.min("start0").alias("start0"), F.max("end0").alias("end0"), *keep
     )
     return merged.select(*group, "start0", "end0", *[F.col("_first")[c].alias(c) for c in first])
 
