@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["spans", "tables"]
+MODULES = ["spans", "tables", "texts", "trees", "taggings"]
 
 
 def load_all() -> None:

@@ -44,6 +44,7 @@ FALSE_WORDS = ["n", "no", "f", "false", "off", "0"]
 INTEGER_PATTERN = r"^\s*[+-]?\d+\s*$"
 DECIMAL_PATTERN = r"(?i)^\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)\s*$"
 
+MOMENTS = ["datetime", "date", "time"]
 TYPE_ORDER = ["integer", "decimal", "boolean", "date", "time", "datetime"]
 
 
@@ -53,14 +54,23 @@ def _tidy(value: Column) -> Column:
     return F.regexp_replace(text, r"^(Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*,? ", "")
 
 
-def _by_shape(text: Column, shapes: list[tuple[str, str]]) -> Column:
+def _format_of(text: Column, shapes: list[tuple[str, str]]) -> Column:
+    """The format a text has the shape of; null for none."""
     out = None
     for shape, fmt in shapes:
-        parsed = F.try_to_timestamp(text, F.lit(fmt))
-        out = F.when(text.rlike(shape), parsed) if out is None else out.when(text.rlike(shape), parsed)
+        out = F.when(text.rlike(shape), fmt) if out is None else out.when(text.rlike(shape), fmt)
     return out
 
 
+def _by_shape(text: Column, shapes: list[tuple[str, str]]) -> Column:
+    # One parser call whose format is chosen per row keeps the generated code small.
+    return F.try_to_timestamp(text, _format_of(text, shapes))
+
+
+def _format(stamp: Column, fmt: Column) -> Column:
+    return F.call_function("date_format", stamp, fmt)
+
+
 def parse_datetime(value: Column) -> Column:
     """Timestamp of a date with or without a time of day; null when not recognised."""
     return _by_shape(_tidy(value), DATETIME_SHAPES + DATE_SHAPES)
@@ -68,9 +78,22 @@ def parse_datetime(value: Column) -> Column:
 
 def parse_time(value: Column) -> Column:
     """``HH:mm:ss`` of a bare time of day, or of a date with one."""
+    return F.date_format(_by_shape(_tidy(value), TIME_SHAPES + DATETIME_SHAPES + DATE_SHAPES), "HH:mm:ss")
+
+
+def _moment(value: Column, kind: Column, formats: dict[str, str]) -> Column:
+    """A date, time or datetime value rewritten in the format of its type.
+
+    A bare time of day is no date, so the time shapes count for times only.
+    """
     text = _tidy(value)
-    bare = _by_shape(text, TIME_SHAPES)
-    return F.date_format(F.coalesce(bare, parse_datetime(value)), "HH:mm:ss")
+    fmt = F.coalesce(
+        _format_of(text, DATETIME_SHAPES + DATE_SHAPES), F.when(kind == "time", _format_of(text, TIME_SHAPES))
+    )
+    out = None
+    for name, wanted in formats.items():
+        out = F.when(kind == name, wanted) if out is None else out.when(kind == name, wanted)
+    return _format(F.try_to_timestamp(text, fmt), out)
 
 
 def parse_bool(value: Column) -> Column:
@@ -90,16 +113,15 @@ def c_locale_date(ts: Column) -> Column:
 def value_shape(value: Column) -> Column:
     """Struct of flags: which types the one value satisfies."""
     text = _tidy(value)
-    stamp = _by_shape(text, DATETIME_SHAPES + DATE_SHAPES)
-    clock = _by_shape(text, TIME_SHAPES)
-    any_stamp = F.coalesce(stamp, clock)
+    any_stamp = _by_shape(text, DATETIME_SHAPES + DATE_SHAPES + TIME_SHAPES)
+    bare = text.rlike("|".join(shape for shape, _ in TIME_SHAPES))
     at_midnight = (F.hour(any_stamp) == 0) & (F.minute(any_stamp) == 0)
     flags = {
         "integer": value.rlike(INTEGER_PATTERN),
         "decimal": value.rlike(DECIMAL_PATTERN),
         "boolean": F.lower(value).isin("true", "false"),
         "date": any_stamp.isNotNull() & at_midnight,
-        "time": clock.isNotNull() & stamp.isNull(),
+        "time": any_stamp.isNotNull() & bare,
         "datetime": any_stamp.isNotNull(),
     }
     return F.struct(*[F.coalesce(c, F.lit(False)).alias(k) for k, c in flags.items()])
@@ -144,9 +166,8 @@ def canonical_value(value: Column, type_name: Column) -> Column:
         F.when(kind == "text", value)
         .when(kind == "integer", F.when(value.rlike(INTEGER_PATTERN), whole))
         .when(kind == "decimal", float_text(F.when(value.rlike(DECIMAL_PATTERN), value).try_cast("double")))
-        .when(kind == "datetime", F.date_format(parse_datetime(value), "yyyy-MM-dd'T'HH:mm:ss"))
-        .when(kind == "date", F.date_format(parse_datetime(value), "yyyy-MM-dd"))
-        .when(kind == "time", parse_time(value))
+        .when(kind.isin(*MOMENTS), _moment(value, kind, {
+            "datetime": "yyyy-MM-dd'T'HH:mm:ss", "date": "yyyy-MM-dd", "time": "HH:mm:ss"}))
         .when(kind == "boolean", F.when(parse_bool(value), "True").when(~parse_bool(value), "False"))
     )
 
@@ -169,13 +190,15 @@ def legacy_value(value: Column, type_name: Column, platform: str, unassigned: Co
     text = F.trim(value)
     mac = platform == "mac"
     truth = parse_bool(text)
-    stamp = parse_datetime(text)
+    formats = {
+        "datetime": "yyyy-MM-dd'T'HH:mm:ss" if mac else "yyyy-MM-dd HH:mm:ss'Z'",
+        "date": "yyyy-MM-dd" if mac else "yyyy-MM-dd 00:00:00'Z'",
+        "time": "HH:mm:ss",
+    }
     out = (
         F.when(kind == "boolean",
                F.when(truth, "1" if mac else "True").when(~truth, "0" if mac else "False"))
-        .when(kind == "datetime", F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss" if mac else "yyyy-MM-dd HH:mm:ss'Z'"))
-        .when(kind == "date", F.date_format(stamp, "yyyy-MM-dd" if mac else "yyyy-MM-dd 00:00:00'Z'"))
-        .when(kind == "time", parse_time(text))
+        .when(kind.isin(*MOMENTS), _moment(text, kind, formats))
         .otherwise(text)
     )
     return F.when(F.coalesce(text, F.lit("")) == "", unassigned).otherwise(out)
@@ -193,11 +216,9 @@ def flatcode_type(class_name: Column) -> Column:
 def flatcode_value(value: Column, type_name: Column) -> Column:
     """Dates and times become digit strings, booleans 1 or 0, the rest stays."""
     kind = _known_type(type_name)
-    stamp = parse_datetime(value)
+    formats = {"datetime": "yyyyMMddHHmmss", "date": "yyyyMMdd", "time": "HHmmss"}
     return (
-        F.when(kind == "datetime", F.date_format(stamp, "yyyyMMddHHmmss"))
-        .when(kind == "date", F.date_format(stamp, "yyyyMMdd"))
-        .when(kind == "time", F.replace(parse_time(value), F.lit(":"), F.lit("")))
+        F.when(kind.isin(*MOMENTS), _moment(value, kind, formats))
         .when(kind == "boolean", F.when(parse_bool(value), "1").when(~parse_bool(value), "0"))
         .otherwise(value)
     )
