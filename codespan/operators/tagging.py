@@ -15,6 +15,7 @@ from codespan.operators.merge import get_or_create, lowest_id_by_name
 from codespan.operators.numbering import forward_fill
 from codespan.operators.query import filter_sources, require_source_category
 from codespan.schemas import CANONICAL
+from codespan.session import cut, spread
 from codespan.sources.project import shape
 
 Project = dict[str, DataFrame]
@@ -191,9 +192,10 @@ def speaker_lines(texts: DataFrame, column: str = "Content") -> DataFrame:
     Positions come from summing the lengths of the matches and of the text
     between them, so a text is gone through once whatever its length.
     """
+    texts = spread(texts.filter(F.col(column).contains(":")), "Id")
     text = F.col(column)
     pattern = F.lit(SPEAKER_PATTERN)
-    found = texts.filter(text.contains(":")).select(
+    found = texts.select(
         "Id",
         F.regexp_extract_all(text, pattern, F.lit(0)).alias("whole"),
         F.regexp_extract_all(text, pattern, F.lit(1)).alias("name"),
@@ -256,29 +258,23 @@ STOP_WORDS = (
 ).split()
 
 
-def word_pairs(sentence: Column) -> Column:
+_WORD = r"[\p{L}\p{M}]"
+_STOP = rf"(?!(?:{'|'.join(STOP_WORDS)})(?!{_WORD}))"
+# Every pair of neighbouring words, found without using up the second one.
+_PAIR_PATTERN = rf"(?<!{_WORD})(?=({_STOP}{_WORD}++ +{_STOP}{_WORD}++))"
+
+
+def word_pairs(text: Column) -> Column:
     """Default phrase extractor: neighbouring words, neither of them a stop word.
 
-    Works on lower-cased text and never across punctuation.
+    Works on lower-cased text and never across punctuation or line ends.
     """
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
-    clauses = F.split(sentence, r"[^\p{L}\p{M} ]+")
-
-    def pairs(clause):
-        words = F.filter(F.split(clause, " +"), lambda w: w != "")
-        n = F.size(words)
-        both = F.arrays_zip(
-            F.slice(words, 1, F.greatest(n - 1, F.lit(0))).alias("a"),
-            F.slice(words, 2, F.greatest(n - 1, F.lit(0))).alias("b"),
-        )
-        kept = F.filter(both, lambda z: ~F.array_contains(stop, z["a"]) & ~F.array_contains(stop, z["b"]))
-        return F.transform(kept, lambda z: F.concat(z["a"], F.lit(" "), z["b"]))
-
-    return F.flatten(F.transform(clauses, pairs))
+    return F.regexp_extract_all(F.regexp_replace(text, " +", " "), F.lit(_PAIR_PATTERN), F.lit(1))
 
 
 def sentences(texts: DataFrame, column: str = "Content") -> DataFrame:
     """Id, Sentence (lower case), start0, end0, without surrounding blanks."""
+    texts = spread(texts, "Id")
     text = F.col(column)
     tiles = F.regexp_extract_all(text, F.lit(r"[^.!?\n]+[.!?\n]*"), F.lit(0))
     lead = F.length(F.regexp_extract(text, r"^[.!?\n]*", 0))
@@ -311,7 +307,10 @@ def phrase_occurrences(texts: DataFrame, extractor: Extractor = word_pairs) -> D
 
 def phrase_frequency(texts: DataFrame, threshold: int = 0, extractor: Extractor = word_pairs) -> DataFrame:
     """Count of each phrase over all texts, those at or above the threshold (0 = all)."""
-    counts = phrase_occurrences(texts, extractor).groupBy("Phrase").agg(F.count(F.lit(1)).alias("n"))
+    found = spread(texts.select("Id", "Content"), "Id").select(
+        F.explode(extractor(F.lower("Content"))).alias("Phrase")
+    )
+    counts = found.groupBy("Phrase").agg(F.count(F.lit(1)).alias("n"))
     return counts.filter(F.col("n") >= threshold) if threshold else counts
 
 
@@ -336,9 +335,8 @@ def tag_phrases(
     spark = p["Node"].sparkSession
     texts = filter_sources(p, category=source_category, limit=limit).select("Id", "Content")
     found = phrase_occurrences(texts, extractor)
-    frequent = found.groupBy("Phrase").agg(F.count(F.lit(1)).alias("n"))
-    if threshold:
-        frequent = frequent.filter(F.col("n") >= threshold)
+    # Several branches need the kept phrases; the texts are read once for them.
+    frequent = cut(phrase_frequency(texts, threshold, extractor))
     categories, category_ids = get_or_create(
         p["NodeCategory"], spark.createDataFrame([(PHRASE_CATEGORY,)], "Name string"), "NodeCategory", user, now,
         description=None,

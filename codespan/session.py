@@ -34,3 +34,19 @@ def cut(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint (never a local one)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal a small table out over all cores before heavy work on each row.
+
+    A scan of a small file is one task.  Only a table whose estimated size would
+    give fewer scan splits than there are cores is moved, so what is shuffled
+    here never exceeds one split per core; anything larger is left where it is.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728b")
+    ))
+    return df.repartition(cores, key) if size < split * cores else df
