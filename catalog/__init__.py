@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["spans", "tables", "texts", "trees", "taggings"]
+MODULES = ["spans", "tables", "texts", "trees", "taggings", "layouts"]
 
 
 def load_all() -> None:

@@ -161,8 +161,8 @@ class Data:
         used = {n: self[n] for n in re.findall(r"\{([a-z_]\w*)\}", text)}
         return self.spark.sql(text, **used)
 
-    def project(self) -> dict[str, DataFrame]:
-        """The canonical project over the views; untouched tables stay out of plans."""
+    def project(self, *wanted: str) -> dict[str, DataFrame]:
+        """The canonical project over the views; tables not asked for are empty."""
         from codespan.sources.project import conform
 
         names = {
@@ -171,7 +171,7 @@ class Data:
             "SourceCategory": "v_srccat", "Source": "v_source", "SourceAttribute": "v_srcattr",
             "SourceValue": "v_srcvalue", "Tagging": "v_tagging",
         }
-        return conform({table: self[view] for table, view in names.items()})
+        return conform({t: self[view] for t, view in names.items() if not wanted or t in wanted})
 
 
 def _oracle_text(sql: str) -> str:

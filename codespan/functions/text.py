@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from codespan.functions.bind import let
 from codespan.schemas import SHIFT
 
 
@@ -85,6 +86,10 @@ def running_totals(lengths: Column) -> Column:
     element copies it every time.  Summing inside blocks of about sqrt(n) and
     then over the blocks keeps the copying near n^1.5, all inside one row.
     """
+    return let(lengths, _running_totals)
+
+
+def _running_totals(lengths: Column) -> Column:
     zero = F.lit(0).cast("long")
     n = F.size(lengths)
     block = F.greatest(F.ceil(F.sqrt(n.cast("double"))).cast("int"), F.lit(1))
@@ -92,6 +97,7 @@ def running_totals(lengths: Column) -> Column:
     starts = F.when(n > 0, F.sequence(F.lit(0), n_blocks - 1)).otherwise(
         F.array().cast("array<int>")
     )
+    # Sums inside each block, the block's whole sum last.
     inner = F.transform(
         starts,
         lambda b: F.aggregate(
@@ -100,18 +106,21 @@ def running_totals(lengths: Column) -> Column:
             lambda acc, x: F.array_append(acc, F.element_at(acc, -1) + x),
         ),
     )
-    before = F.aggregate(
-        inner,
-        F.array(zero),
-        lambda acc, part: F.array_append(acc, F.element_at(acc, -1) + F.element_at(part, -1)),
-    )
-    shifted = F.transform(
-        F.arrays_zip(inner.alias("part"), F.slice(before, 1, n_blocks).alias("base")),
-        lambda z: F.transform(
-            F.slice(z["part"], 1, F.size(z["part"]) - 1), lambda x: x + z["base"]
-        ),
-    )
-    return F.when(n > 0, F.flatten(shifted)).otherwise(F.array().cast("array<bigint>"))
+
+    def shifted(parts: Column) -> Column:
+        before = F.aggregate(
+            parts,
+            F.array(zero),
+            lambda acc, part: F.array_append(acc, F.element_at(acc, -1) + F.element_at(part, -1)),
+        )
+        return F.transform(
+            F.arrays_zip(parts.alias("part"), F.slice(before, 1, n_blocks).alias("base")),
+            lambda z: F.transform(
+                F.slice(z["part"], 1, F.size(z["part"]) - 1), lambda x: x + z["base"]
+            ),
+        )
+
+    return F.when(n > 0, F.flatten(let(inner, shifted))).otherwise(F.array().cast("array<bigint>"))
 
 
 def paragraphs(text: Column) -> Column:
@@ -119,11 +128,17 @@ def paragraphs(text: Column) -> Column:
 
     A last line without newline ends with the text; an empty rest is no line.
     """
-    lines = F.split(text, "\n", -1)
-    n = F.size(lines)
-    lengths = F.transform(lines, lambda x, i: (F.length(x) + F.when(i < n - 1, 1).otherwise(0)).cast("long"))
-    kept = F.filter(lengths, lambda x: x > 0)
-    return F.transform(
-        F.arrays_zip(running_totals(kept).alias("pos"), kept.alias("len")),
-        lambda z: F.struct(z["pos"].alias("pos"), z["len"].alias("len")),
-    )
+    def measured(lines: Column) -> Column:
+        n = F.size(lines)
+        sizes = F.transform(
+            lines, lambda x, i: (F.length(x) + F.when(i < n - 1, 1).otherwise(0)).cast("long")
+        )
+        return F.filter(sizes, lambda x: x > 0)
+
+    def placed(sizes: Column) -> Column:
+        return F.transform(
+            F.arrays_zip(running_totals(sizes).alias("pos"), sizes.alias("len")),
+            lambda z: F.struct(z["pos"].alias("pos"), z["len"].alias("len")),
+        )
+
+    return let(let(F.split(text, "\n", -1), measured), placed)

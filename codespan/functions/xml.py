@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from codespan.functions.bind import let
 from codespan.schemas import PROPERTIES_NAMESPACE
 
 _PROPERTY_SCHEMA = "Property ARRAY<STRUCT<_Key: STRING, _Value: STRING>>"
@@ -12,12 +13,14 @@ _PROPERTY_SCHEMA = "Property ARRAY<STRUCT<_Key: STRING, _Value: STRING>>"
 
 def property_map(xml: Column) -> Column:
     """Map of the Key/Value pairs of a property bag; a repeated key keeps its first value."""
-    bag = F.from_xml(xml, _PROPERTY_SCHEMA)["Property"]
-    keys = F.transform(bag, lambda p: p["_Key"])
-    first = F.filter(bag, lambda p, i: F.array_position(keys, p["_Key"]) == i + 1)
-    return F.map_from_entries(
-        F.transform(first, lambda p: F.struct(p["_Key"].alias("key"), p["_Value"].alias("value")))
-    )
+    def first_values(bag: Column) -> Column:
+        def unique(keys: Column) -> Column:
+            kept = F.filter(bag, lambda p, i: F.array_position(keys, p["_Key"]) == i + 1)
+            return F.transform(kept, lambda p: F.struct(p["_Key"].alias("key"), p["_Value"].alias("value")))
+
+        return let(F.transform(bag, lambda p: p["_Key"]), unique)
+
+    return F.map_from_entries(let(F.from_xml(xml, _PROPERTY_SCHEMA)["Property"], first_values))
 
 
 def property_list(xml: Column) -> Column:

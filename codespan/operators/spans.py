@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from codespan.functions import offsets as O
+from codespan.functions.bind import let
 
 CELL_WIDTH = 256
 
@@ -135,20 +136,16 @@ def nonspace_to_char(spans: DataFrame, texts: DataFrame) -> DataFrame:
         .groupBy("Source")
         .agg(F.collect_set("k").alias("ks"))
     )
-    positions = O.counted_positions(F.col("PlainText"))
-    found = (
-        asked.join(texts.filter(F.col("PlainText").isNotNull()), "Source")
-        .select("Source", "ks", F.length("PlainText").cast("long").alias("n"), positions.alias("at"))
-        .select(
-            "Source",
-            F.explode(
-                F.transform(
-                    "ks",
-                    lambda k: F.struct(k.alias("k"), O.locate_counted(F.col("at"), F.col("n"), k).alias("p")),
-                )
-            ).alias("m"),
+    def located(at):
+        return F.transform(
+            "ks",
+            lambda k: F.struct(
+                k.alias("k"), O.locate_counted(at, F.length("PlainText").cast("long"), k).alias("p")
+            ),
         )
-        .select("Source", F.col("m.k").alias("k"), F.col("m.p").alias("p"))
+
+    found = asked.join(texts.filter(F.col("PlainText").isNotNull()), "Source").select(
+        "Source", F.inline(let(O.counted_positions(F.col("PlainText")), located))
     )
     first = found.select(F.col("Source").alias("_s1"), F.col("k").alias("_k1"), F.col("p").alias("_first"))
     last = found.select(F.col("Source").alias("_s2"), F.col("k").alias("_k2"), F.col("p").alias("_last"))

@@ -24,10 +24,11 @@ from codespan.operators.merge import merge_table, put_project, reassign_users
 from codespan.operators.numbering import next_ordinals, number_rows
 from codespan.operators.tree import aggregate_pairs, tree_walk
 from codespan.plans.common import Actions, union_all
-from codespan.plans.legacy_import import MAC, WINDOWS, edges, items, one_edge
+from codespan.plans.legacy_import import MAC, WINDOWS, edges, items, one_edge, project_label
 from codespan.schemas import (
     AUDIT_COLUMNS, ITEM_TYPE, LEGACY, OBJECT_TYPES, PROPERTIES_NAMESPACE, ROLE_TYPE, SYSTEM_FOLDERS,
 )
+from codespan.session import cut
 from codespan.sources.project import require_format, shape
 
 Project = dict[str, DataFrame]
@@ -79,6 +80,15 @@ def _audit() -> dict[str, Column]:
     return {c: F.col(c) for c in AUDIT_COLUMNS}
 
 
+def settle(raw: Project, before: Project) -> Project:
+    """Cut the lineage of the tables a step has changed.
+
+    Every step joins the graph tables with themselves; without the cut the plan
+    would double at each of them.
+    """
+    return {name: df if before.get(name) is df else cut(df) for name, df in raw.items()}
+
+
 def _new_only(rows: DataFrame, raw: Project, key: str = "Id") -> DataFrame:
     have = raw["Item"].select(F.col("Id").alias("_have"))
     return rows.join(have, F.col(key) == F.col("_have"), "left_anti")
@@ -233,9 +243,8 @@ def export_attributes(
     Items without a category cannot carry values; :func:`uncategorised_values`
     lists theirs.
     """
-    labels = raw["Project"]
-    unassigned = _name(labels.select(F.max("UnassignedLabel")).scalar(), platform)
-    not_applicable = _name(labels.select(F.max("NotApplicableLabel")).scalar(), platform)
+    unassigned = project_label(raw, "UnassignedLabel", platform)
+    not_applicable = project_label(raw, "NotApplicableLabel", platform)
     definitions = p[f"{entity}Attribute"].select(
         "Id", sanitise_name(F.col("Name")).alias("Name"), F.lower("Type").alias("Type"), *AUDIT_COLUMNS
     )
@@ -266,6 +275,7 @@ def export_attributes(
     ).select(
         "Attribute", "Category", F.when(F.col("_t").isNull(), F.col("NewId")).otherwise(copy_id).alias("NewId")
     )
+    split = cut(split)
     ids = linked.select("Attribute", "Category", "NewId").unionByName(split)
 
     fresh = split.join(definitions.withColumnRenamed("Id", "_d"), F.col("Attribute") == F.col("_d")).select(
@@ -294,16 +304,16 @@ def export_attributes(
             starters.select(F.col("Id").alias("Item_Id"), is_default(F.col("IsDefault")).alias("Properties")),
         ],
     )
-    grown = add_edges(
+    grown = settle(add_edges(
         grown,
         _role(tagged, F.col("Id"), F.col("Category"), "attribute_classification", F.col("Tag")),
         _role(starters, F.col("Attribute"), F.col("Id"), "attribute_value", F.col("Tag")),
-    )
+    ), raw)
 
     assigned = values.join(ids, ["Attribute", "Category"]).select(
         "Item", "Category", F.col("NewId").alias("Attribute"), "Value"
     )
-    grown = assign_values(grown, assigned, mode)
+    grown = settle(assign_values(grown, assigned, mode), grown)
     members = edges(grown, "item_category").select(F.col("Item2_Id").alias("Category"), F.col("Item1_Id").alias("Item"))
     defaults = fresh.join(
         starters.filter(F.col("Tag") == 0).select(F.col("Attribute").alias("_s"), F.col("Id").alias("Default")),
@@ -319,7 +329,7 @@ def assign_values(raw: Project, assigned: DataFrame, mode: str) -> Project:
     A value already assigned stays unless ``mode`` overwrites.  A value no
     vertex exists for gets one, numbered after the attribute's highest.
     """
-    status = value_status(raw, assigned)
+    status = cut(value_status(raw, assigned))
     if mode not in ("overwrite", "replace"):
         status = status.filter(F.col("ExistingValueId").isNull())
     vertex = deterministic_id("AttributeValue", F.col("Attribute"), F.col("Value"))
@@ -396,13 +406,14 @@ def category_layouts(raw: Project, kind: str, member: str = "member", rows_per_p
         ).alias("_body"),
         F.max("_all").alias("_all"),
     )
-    empty = items(raw, kind).select(F.col("Id").alias("Category")).join(parts.select("Category"), "Category", "left_anti")
-    whole = empty.select("Category", F.lit(0).alias("Part"), F.lit("").alias("_body"), F.lit(0).cast("long").alias("_all"))
-    last = F.floor((F.greatest(F.col("_all"), F.lit(1)) - 1) / rows_per_part)
-    return parts.unionByName(whole).select(
-        F.col("Category").alias("Item_Id"), "Part",
+    last = F.floor((F.greatest(F.coalesce("_all", F.lit(0)), F.lit(1)) - 1) / rows_per_part)
+    whole = items(raw, kind).select("Id").join(parts, F.col("Id") == F.col("Category"), "left").withColumn(
+        "Part", F.coalesce("Part", F.lit(0))
+    )
+    return whole.select(
+        F.col("Id").alias("Item_Id"), "Part",
         F.concat(
-            F.when(F.col("Part") == 0, X.LAYOUT_HEAD).otherwise(""), "_body",
+            F.when(F.col("Part") == 0, X.LAYOUT_HEAD).otherwise(""), F.coalesce("_body", F.lit("")),
             F.when(F.col("Part") == last, X.LAYOUT_TAIL).otherwise(""),
         ).alias("Layout"),
     )
@@ -561,26 +572,32 @@ def export_legacy(
     actions = actions or Actions()
     p = require_format(p)
     raw = dict(base)
+
+    def step(change) -> None:
+        nonlocal raw
+        raw = settle(change(raw), raw)
+
     if actions.wants("users"):
-        raw = export_users(p, raw, actions["users"])
+        step(lambda r: export_users(p, r, actions["users"]))
     if actions["project"] in ("overwrite", "replace"):
         row = p["Project"].select(
             _name(F.col("Title"), platform).alias("Title"),
             encoded(F.coalesce("Description", F.lit("")), platform).alias("Description"), *AUDIT_COLUMNS,
         )
-        raw["Project"] = put_project(raw["Project"], row, "overwrite")
+        step(lambda r: r | {"Project": put_project(r["Project"], row, "overwrite")})
     if actions.wants("node_categories"):
-        raw = export_categories(p, raw, "Node" if major == "10" else "Case", actions["node_categories"], platform)
+        kind = "Node" if major == "10" else "Case"
+        step(lambda r: export_categories(p, r, kind, actions["node_categories"], platform))
     if actions.wants("nodes"):
-        raw = export_nodes(p, raw, platform, major)
+        step(lambda r: export_nodes(p, r, platform, major))
     if actions.wants("node_attributes"):
-        raw = export_attributes(p, raw, "Node", actions["node_attributes"], platform)
-    raw = export_layouts(raw, "node_classification")
+        step(lambda r: export_attributes(p, r, "Node", actions["node_attributes"], platform))
+    step(lambda r: export_layouts(r, "node_classification"))
     if actions.wants("source_categories"):
-        raw = export_categories(p, raw, "Source", actions["source_categories"], platform)
+        step(lambda r: export_categories(p, r, "Source", actions["source_categories"], platform))
     if actions.wants("sources"):
-        raw = export_sources(p, raw, actions["sources"], platform)
+        step(lambda r: export_sources(p, r, actions["sources"], platform))
     if actions.wants("source_attributes"):
-        raw = export_attributes(p, raw, "Source", actions["source_attributes"], platform)
-    raw = export_layouts(raw, "source_classification")
+        step(lambda r: export_attributes(p, r, "Source", actions["source_attributes"], platform))
+    step(lambda r: export_layouts(r, "source_classification"))
     return export_taggings(p, raw, actions, platform)

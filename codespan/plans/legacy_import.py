@@ -74,14 +74,19 @@ def legacy_categories(raw: Project, kind: str, platform: str = WINDOWS) -> DataF
     )
 
 
+def project_label(raw: Project, column: str, platform: str) -> Column:
+    """One of the project's labels as item names spell it, as a scalar."""
+    one = raw["Project"].agg(F.max(column).alias("label"))
+    return one.select(shift_encode(F.col("label")) if platform == WINDOWS else F.col("label")).scalar()
+
+
 def value_dimension(raw: Project, platform: str = WINDOWS) -> DataFrame:
     """Assigned value items with the attribute they belong to.
 
     The project's label for "no value" is left out before any entity is joined,
     which is where most of the edges of a sparse attribute lead.
     """
-    label = raw["Project"].select(F.max("UnassignedLabel")).scalar()
-    label = shift_encode(label) if platform == WINDOWS else label
+    label = project_label(raw, "UnassignedLabel", platform)
     values = items(raw, "attribute_value").withColumn("_label", label).filter(
         ~F.col("Name").eqNullSafe(F.col("_label"))
     )
