@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import VIEWS, query
-from codespan.functions import fragments as FR
-from codespan.functions import offsets as O
 from codespan.functions import text as T
 from codespan.functions import values as V
 from codespan.functions.ids import canonical_uuid
@@ -22,12 +20,12 @@ _ON_LF = """SELECT t.Id, t.First_ - 1 AS start0, t.Last_ - t.First_ + 1 AS len,
   FROM {v_span} t JOIN {v_source} s ON s.Id = t.Source"""
 
 
-def _spans_on(d, view, column):
-    texts = d[view].select(F.col("Id").alias("Source"), F.col(column).alias("txt"))
+def _moved(d, translate, view, column):
+    texts = d[view].select(F.col("Id").alias("Source"), F.col(column).alias("Text"))
     spans = d["v_span"].select(
-        "Id", "Source", (F.col("First_") - 1).alias("start0"), (F.col("Last_") - F.col("First_") + 1).alias("len")
+        "Id", "Source", (F.col("First_") - 1).alias("start0"), (F.col("Last_") - F.col("First_") + 1).alias("length")
     )
-    return spans.join(texts, "Source")
+    return translate(spans, texts)
 
 
 def _count_crlf(part):
@@ -40,8 +38,7 @@ def _count_crlf(part):
           len - {_count_crlf("substring(txt, start0 + 1, len)")} AS length FROM ({_ON_CRLF}) x""",
 )
 def crlf_offsets(d):
-    rows = _spans_on(d, "v_crlf", "PlainText")
-    return rows.select("Id", O.span_crlf_to_lf(F.col("txt"), F.col("start0"), F.col("len")).alias("s")).select("Id", "s.*")
+    return _moved(d, S.crlf_to_lf_spans, "v_crlf", "PlainText").drop("Source")
 
 
 def _bare(part):
@@ -58,8 +55,7 @@ def _bare(part):
           len + {_bare("substring(txt, start0 + 1, len)")} AS length FROM ({_ON_LF}) x""",
 )
 def lf_offsets(d):
-    rows = _spans_on(d, "v_source", "Content")
-    return rows.select("Id", O.span_lf_to_crlf(F.col("txt"), F.col("start0"), F.col("len")).alias("s")).select("Id", "s.*")
+    return _moved(d, S.lf_to_crlf_spans, "v_source", "Content").drop("Source")
 
 
 _SPACES = r"regexp_replace({}, '[ \t\n\r\x0b\x0c]', '', 'g')"
@@ -75,10 +71,7 @@ def _uncounted(part):
           len - {_uncounted("substring(txt, start0 + 1, len)")} AS length FROM ({_ON_LF}) x""",
 )
 def nonspace_offsets(d):
-    rows = _spans_on(d, "v_source", "Content")
-    return rows.select("Id", O.char_to_nonspace_span(F.col("txt"), F.col("start0"), F.col("len")).alias("s")).select(
-        "Id", "s.*"
-    )
+    return _moved(d, S.char_to_nonspace_spans, "v_source", "Content").drop("Source")
 
 
 # Going there and back lands on the first and last counted characters of the span.
@@ -91,10 +84,9 @@ def nonspace_offsets(d):
         WHERE length(trim(part, s)) > 0""",
 )
 def nonspace_roundtrip(d):
-    rows = _spans_on(d, "v_source", "Content")
-    there = rows.select(
-        "Id", "Source", O.char_to_nonspace_span(F.col("txt"), F.col("start0"), F.col("len")).alias("s")
-    ).select("Id", "Source", F.col("s.start0").alias("StartText"), F.col("s.length").alias("LengthText"))
+    there = _moved(d, S.char_to_nonspace_spans, "v_source", "Content").withColumnsRenamed(
+        {"start0": "StartText", "length": "LengthText"}
+    )
     texts = d["v_source"].select(F.col("Id").alias("Source"), F.col("Content").alias("PlainText"))
     back = S.nonspace_to_char(there.filter(F.col("LengthText") > 0), texts)
     return back.select("Id", "StartX", "LengthX")

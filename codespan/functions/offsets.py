@@ -55,13 +55,36 @@ def counted_positions(plain: Column) -> Column:
     Built once per source and shared by all spans of it; see
     ``operators.spans.nonspace_to_char`` for the set-based use.
     """
-    chars = F.split(plain, "")
-    marked = F.transform(
-        chars, lambda c, i: F.when(~c.rlike(NOT_COUNTED), i.cast("long"))
-    )
+    def counted(c: Column) -> Column:
+        printable = (c > " ") & (c < "\u007f")
+        return printable | ~c.rlike(NOT_COUNTED)
+
+    marked = F.transform(F.split(plain, ""), lambda c, i: F.when(counted(c), i.cast("long")))
     return F.filter(marked, lambda p: p.isNotNull())
 
 
+# What to count when offsets move, as (count in a stretch of text, belongs to
+# the edge).  A stretch comes with the one character before it, so that a pair
+# of characters is seen whole; ``at_start`` says there is no such character.
+
+
+def crlf_pairs(stretch: Column, at_start: Column) -> Column:
+    """Two-character line ends whose second character lies in the stretch."""
+    return _occurrences(stretch, "\r\n")
+
+
+def bare_newlines(stretch: Column, at_start: Column) -> Column:
+    """Line feeds after another character that is no carriage return."""
+    leading = F.when(F.substring(stretch, 1, 1) == "\n", 1).otherwise(0)
+    return _occurrences(stretch, "\n") - _occurrences(stretch, "\r\n") - leading
+
+
+def uncounted(stretch: Column, at_start: Column) -> Column:
+    """White space that is left out of counts."""
+    own = F.when(at_start, stretch).otherwise(F.substring(stretch, 2, 2**31 - 1))
+    return _uncounted(own)
+
+
 def locate_counted(positions: Column, text_length: Column, k: Column) -> Column:
     """Where the k-th counted character sits; past the last one, extrapolate.
 

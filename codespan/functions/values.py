@@ -7,6 +7,7 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from codespan.functions.bind import let
 from codespan.schemas import DATA_TYPES, OBJECT_TYPES
 
 # The accepted spellings of a date or time, as (shape, format).
@@ -110,21 +111,33 @@ def c_locale_date(ts: Column) -> Column:
     )
 
 
-def value_shape(value: Column) -> Column:
-    """Struct of flags: which types the one value satisfies."""
-    text = _tidy(value)
-    any_stamp = _by_shape(text, DATETIME_SHAPES + DATE_SHAPES + TIME_SHAPES)
-    bare = text.rlike("|".join(shape for shape, _ in TIME_SHAPES))
-    at_midnight = (F.hour(any_stamp) == 0) & (F.minute(any_stamp) == 0)
-    flags = {
-        "integer": value.rlike(INTEGER_PATTERN),
-        "decimal": value.rlike(DECIMAL_PATTERN),
-        "boolean": F.lower(value).isin("true", "false"),
-        "date": any_stamp.isNotNull() & at_midnight,
-        "time": any_stamp.isNotNull() & bare,
-        "datetime": any_stamp.isNotNull(),
-    }
-    return F.struct(*[F.coalesce(c, F.lit(False)).alias(k) for k, c in flags.items()])
+def type_mask(value: Column) -> Column:
+    """Which types one value satisfies: bit i stands for ``TYPE_ORDER[i]``.
+
+    Dates are parsed once, and only for values that look like one.
+    """
+    bit = {name: 1 << i for i, name in enumerate(TYPE_ORDER)}
+    shapes = DATETIME_SHAPES + DATE_SHAPES + TIME_SHAPES
+    any_shape = "|".join(shape for shape, _ in shapes)
+    bare = "|".join(shape for shape, _ in TIME_SHAPES)
+
+    def moment(text: Column) -> Column:
+        def bits(stamp: Column) -> Column:
+            at_midnight = (F.hour(stamp) == 0) & (F.minute(stamp) == 0)
+            return F.when(stamp.isNull(), 0).otherwise(
+                F.lit(bit["datetime"])
+                + F.when(at_midnight, bit["date"]).otherwise(0)
+                + F.when(text.rlike(bare), bit["time"]).otherwise(0)
+            )
+
+        return F.when(text.rlike(any_shape), let(_by_shape(text, shapes), bits)).otherwise(0)
+
+    return (
+        F.when(value.rlike(INTEGER_PATTERN), bit["integer"] + bit["decimal"])
+        .when(value.rlike(DECIMAL_PATTERN), bit["decimal"])
+        .when(F.lower(value).isin("true", "false"), bit["boolean"])
+        .otherwise(let(_tidy(value), moment))
+    )
 
 
 def float_text(number: Column) -> Column:

@@ -7,14 +7,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codespan.functions.values import TYPE_ORDER, value_shape
+from codespan.functions.values import TYPE_ORDER, type_mask
 from codespan.operators.numbering import first_by
 
 
-def _type_of(all_of: dict[str, Column]) -> Column:
+def _type_of(mask: Column) -> Column:
+    """The first type whose bit is set; no bit, or no value at all, is text."""
     out = None
-    for name in TYPE_ORDER:
-        out = F.when(all_of[name], name) if out is None else out.when(all_of[name], name)
+    for i, name in enumerate(TYPE_ORDER):
+        has = mask.bitwiseAND(F.lit(1 << i)) != 0
+        out = F.when(has, name) if out is None else out.when(has, name)
     return out.otherwise("text")
 
 
@@ -24,27 +26,18 @@ def infer_attribute_types(df: DataFrame, columns: list[str], ignore_blank: bool
     The type is the first one every value satisfies; blanks are left out unless
     ``ignore_blank`` is off, in which case a single blank makes the column text.
     """
-    shaped = df.select(
-        *[F.col(c).cast("string").alias(c) for c in columns],
-        *[value_shape(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(f"_s_{c}") for c in columns],
-    )
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns}
 
-    def aggregates(c: str) -> list[Column]:
-        counted = F.coalesce(F.col(c), F.lit("")) != "" if ignore_blank else F.lit(True)
-        flags = [
-            F.bool_and(F.when(counted, F.col(f"_s_{c}")[t])).alias(f"{t}") for t in TYPE_ORDER
-        ]
-        return [
-            F.struct(F.coalesce(F.max(F.length(c)), F.lit(0)).alias("Length"), *flags).alias(c)
-        ]
+    def summary(c: str) -> list[Column]:
+        mask = F.when(text[c] != "", type_mask(text[c])) if ignore_blank else type_mask(text[c])
+        return [F.max(F.length(text[c])).alias(f"n_{c}"), F.bit_and(mask).alias(f"m_{c}")]
 
-    one = shaped.agg(*[a for c in columns for a in aggregates(c)])
+    one = df.agg(*[a for c in columns for a in summary(c)])
     rows = F.array(
         *[
             F.struct(
-                F.lit(c).alias("Name"),
-                _type_of({t: F.col(c)[t] for t in TYPE_ORDER}).alias("Type"),
-                F.col(c)["Length"].alias("Length"),
+                F.lit(c).alias("Name"), _type_of(F.col(f"m_{c}")).alias("Type"),
+                F.coalesce(F.col(f"n_{c}"), F.lit(0)).alias("Length"),
             )
             for c in columns
         ]
@@ -54,13 +47,11 @@ def infer_attribute_types(df: DataFrame, columns: list[str], ignore_blank: bool
 
 def infer_value_types(values: DataFrame, key: str = "Attribute", value: str = "Value") -> DataFrame:
     """The same for a long table of values: one row per attribute."""
-    shaped = values.filter(F.coalesce(F.col(value), F.lit("")) != "").select(
-        key, F.length(value).alias("_length"), value_shape(F.col(value)).alias("_s")
-    )
-    grouped = shaped.groupBy(key).agg(
-        F.max("_length").alias("Length"), *[F.bool_and(F.col("_s")[t]).alias(t) for t in TYPE_ORDER]
+    filled = values.filter(F.coalesce(F.col(value), F.lit("")) != "")
+    grouped = filled.groupBy(key).agg(
+        F.max(F.length(value)).alias("Length"), F.bit_and(type_mask(F.col(value))).alias("_mask")
     )
-    return grouped.select(key, _type_of({t: F.col(t) for t in TYPE_ORDER}).alias("Type"), "Length")
+    return grouped.select(key, _type_of(F.col("_mask")).alias("Type"), "Length")
 
 
 def attribute_columns(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from codespan.functions import offsets as O
 from codespan.functions.bind import let
+from codespan.functions.text import running_totals
 
 CELL_WIDTH = 256
 
@@ -118,6 +119,93 @@ def intersect_terms(terms: list[DataFrame], width: int = CELL_WIDTH) -> DataFram
     return reduce(step, terms[1:], head)
 
 
+# Beyond this many character steps a text is cut into single characters first.
+SCAN_LIMIT = 1_000_000_000
+
+
+def counts_before(asked: DataFrame, texts: DataFrame, measure) -> DataFrame:
+    """How much a measure counts before each offset of a text: Source, k, n, edge.
+
+    ``asked``: Source, k.  ``texts``: Source, Text.  The distinct offsets of a
+    source (no more than its text has characters) travel to the text; the text
+    is cut at them and every stretch measured once.  ``edge`` is what the first
+    character after the offset would add on its own.
+    """
+    offsets = asked.groupBy("Source").agg(F.sort_array(F.collect_set("k")).alias("ks"))
+    held = offsets.join(texts.filter(F.col("Text").isNotNull()), "Source")
+    text, ks = F.col("Text"), F.col("ks")
+
+    def measured(piece):
+        def one(k, i):
+            low = F.when(i > 0, F.get(ks, i - 1)).otherwise(F.lit(0).cast("long"))
+            before = F.when(low > 0, low - 1).otherwise(low)
+            return measure(piece(before, k), low == 0)
+
+        def edge(k):
+            before = F.when(k > 0, k - 1).otherwise(k)
+            return measure(piece(before, k + 1), k == 0)
+
+        return F.struct(F.transform(ks, one).alias("counts"), F.transform(ks, edge).alias("edges"))
+
+    by_scan = measured(lambda low, high: F.substring(text, (low + 1).cast("int"), (high - low).cast("int")))
+    by_character = let(
+        F.split(text, ""),
+        lambda chars: measured(
+            lambda low, high: F.array_join(F.slice(chars, (low + 1).cast("int"), (high - low).cast("int")), "")
+        ),
+    )
+    work = F.length(text).cast("long") * F.size(ks)
+    found = F.when(work <= SCAN_LIMIT, by_scan).otherwise(by_character)
+    rows = let(
+        found,
+        lambda m: F.arrays_zip(
+            ks.alias("k"), m["counts"].alias("own"), running_totals(m["counts"]).alias("earlier"), m["edges"].alias("edge")
+        ),
+    )
+    return held.select("Source", F.inline(rows)).select(
+        "Source", "k", (F.col("own") + F.col("earlier")).alias("n"), "edge"
+    )
+
+
+def _translate(spans: DataFrame, texts: DataFrame, measure, sign: int, edged: bool = True) -> DataFrame:
+    end = F.col("start0") + F.col("length")
+    asked = spans.filter(F.col("start0").isNotNull() & F.col("length").isNotNull()).select(
+        "Source", F.explode(F.array(F.col("start0"), end)).alias("k")
+    ).filter(F.col("k") >= 0).distinct()
+    counts = counts_before(asked, texts, measure)
+    low = counts.select(F.col("Source").alias("_s1"), F.col("k").alias("_k1"), F.col("n").alias("_n1"), "edge")
+    high = counts.select(F.col("Source").alias("_s2"), F.col("k").alias("_k2"), F.col("n").alias("_n2"))
+    joined = spans.join(low, (F.col("Source") == F.col("_s1")) & (F.col("start0") == F.col("_k1")), "left").join(
+        high, (F.col("Source") == F.col("_s2")) & (end == F.col("_k2")), "left"
+    )
+    # A pair cut by the start of the span lies in neither part.
+    straddling = F.when(F.col("length") > 0, F.col("edge")).otherwise(0) if edged else F.lit(0)
+    inside = F.greatest(F.col("_n2") - F.col("_n1") - straddling, F.lit(0))
+    moved = {
+        "start0": F.col("start0") + sign * F.coalesce("_n1", F.lit(0)),
+        "length": F.col("length") + sign * F.coalesce(inside, F.lit(0)),
+    }
+    return joined.select(*[moved[c].alias(c) if c in moved else F.col(c) for c in spans.columns])
+
+
+def crlf_to_lf_spans(spans: DataFrame, texts: DataFrame) -> DataFrame:
+    """Offsets into texts with two-character line ends -> into the cleaned texts.
+
+    ``spans`` has Source, start0, length; a source without text moves nothing.
+    """
+    return _translate(spans, texts, O.crlf_pairs, -1)
+
+
+def lf_to_crlf_spans(spans: DataFrame, texts: DataFrame) -> DataFrame:
+    """Inverse of :func:`crlf_to_lf_spans`, against the cleaned texts."""
+    return _translate(spans, texts, O.bare_newlines, 1)
+
+
+def char_to_nonspace_spans(spans: DataFrame, texts: DataFrame) -> DataFrame:
+    """Plain offsets -> offsets that leave white space out."""
+    return _translate(spans, texts, O.uncounted, -1, edged=False)
+
+
 def nonspace_to_char(spans: DataFrame, texts: DataFrame) -> DataFrame:
     """Replace offsets that skip white space by plain character offsets.
 

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codespan.functions import fragments as FR
-from codespan.functions import offsets as O
 from codespan.functions import xml as X
 from codespan.functions.ids import deterministic_id
 from codespan.functions.text import (
@@ -20,6 +19,7 @@ from codespan.functions.text import (
 )
 from codespan.functions.values import data_type_code, legacy_value, object_type_code
 from codespan.operators import attributes as A
+from codespan.operators import spans as S
 from codespan.operators.merge import merge_table, put_project, reassign_users
 from codespan.operators.numbering import next_ordinals, number_rows
 from codespan.operators.tree import aggregate_pairs, tree_walk
@@ -510,34 +510,28 @@ def reference_rows(p: Project, platform: str = WINDOWS) -> DataFrame:
     Malformed fragments drop out; spans are forced inside their text.
     """
     span = FR.parse_fragment(F.col("Fragment"))
-    plain = plain_text(F.col("Content"), platform)
-    texts = p["Source"].select(
+    texts = p["Source"].select(F.col("Id").alias("Source"), strip_final_newline(F.col("Content")).alias("Text"))
+    about = p["Source"].select(
         F.col("Id").alias("_s"), F.upper("ObjectType").alias("_type"),
-        (strip_final_newline(F.col("Content")) if platform == WINDOWS else plain).alias("_text"),
+        F.length(strip_final_newline(F.col("Content"))).cast("long").alias("_size"),
     )
+    clamped = FR.clamp_span(F.col("_span.start0"), F.col("_span.end0") - F.col("_span.start0"), F.col("_size"))
     rows = (
         p["Tagging"].filter(FR.is_fragment(F.col("Fragment")))
-        .join(texts, F.col("Source") == F.col("_s"))
+        .join(about, F.col("Source") == F.col("_s"))
         .withColumn("_span", span)
-        .withColumn(
-            "_x",
-            FR.clamp_span(
-                F.col("_span.start0"), F.col("_span.end0") - F.col("_span.start0"), F.length("_text").cast("long")
-            ),
-        )
+        .withColumn("_x", clamped)
+        .withColumns({"start0": F.col("_x.start0"), "length": F.col("_x.length")})
     )
-    start, length = F.col("_x.start0"), F.col("_x.length")
     if platform == WINDOWS:
-        moved = O.span_lf_to_crlf(F.col("_text"), start, length)
-        text_columns = [F.lit(None).cast("long").alias("StartText"), F.lit(None).cast("long").alias("LengthText")]
-        x = [F.coalesce(moved["start0"], start).alias("StartX"), F.coalesce(moved["length"], length).alias("LengthX")]
+        rows = S.lf_to_crlf_spans(rows, texts)
+        null = F.lit(None).cast("long")
+        x = [F.col("start0").alias("StartX"), F.col("length").alias("LengthX")]
+        text_columns = [null.alias("StartText"), null.alias("LengthText")]
     else:
-        counted = O.char_to_nonspace_span(F.col("_text"), start, length)
-        text_columns = [
-            F.coalesce(counted["start0"], start).alias("StartText"),
-            F.coalesce(counted["length"], length).alias("LengthText"),
-        ]
-        x = [start.alias("StartX"), length.alias("LengthX")]
+        rows = S.char_to_nonspace_spans(rows, texts)
+        x = [F.col("_x.start0").alias("StartX"), F.col("_x.length").alias("LengthX")]
+        text_columns = [F.col("start0").alias("StartText"), F.col("length").alias("LengthText")]
     y1, y2 = F.col("_span.y1"), F.col("_span.y2")
     picture = F.col("_type") == OBJECT_TYPES[8]
     return rows.select(

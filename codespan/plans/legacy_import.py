@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codespan.functions import offsets as O
 from codespan.functions import xml as X
 from codespan.functions.text import crlf_to_lf, shift_decode, shift_encode
 from codespan.functions.values import data_type_name, is_zip_document, object_type_name
@@ -170,18 +169,9 @@ def _remapped(rows: DataFrame, raw: Project, platform: str) -> DataFrame:
         present = rows.filter(F.col("StartX").isNotNull() | F.col("StartText").isNull())
         found = S.nonspace_to_char(missing, texts)
         return present.unionByName(found.select(*present.columns))
-    held = texts.select(F.col("Source").alias("_s"), "PlainText")
-    joined = rows.join(held, F.col("Source") == F.col("_s"), "left")
-    moved = O.span_crlf_to_lf(F.col("PlainText"), F.col("StartX"), F.col("LengthX"))
-    has_text = F.coalesce(F.col("PlainText"), F.lit("")) != ""
-    return joined.select(
-        *[
-            F.when(has_text, moved["start0"]).otherwise(F.col(c)).alias(c) if c == "StartX"
-            else F.when(has_text, moved["length"]).otherwise(F.col(c)).alias(c) if c == "LengthX"
-            else F.col(c)
-            for c in rows.columns
-        ]
-    )
+    spans = rows.withColumnsRenamed({"StartX": "start0", "LengthX": "length"})
+    moved = S.crlf_to_lf_spans(spans, texts.withColumnRenamed("PlainText", "Text"))
+    return moved.withColumnsRenamed({"start0": "StartX", "length": "LengthX"})
 
 
 def legacy_taggings(raw: Project, platform: str = WINDOWS) -> DataFrame:
