@@ -10,6 +10,7 @@ from codespan.functions import values as V
 from codespan.functions.ids import canonical_uuid
 from codespan.operators import attributes as A
 from codespan.operators import spans as S
+from codespan.session import spread
 
 VIEWS["v_crlf"] = """
 SELECT Id, replace(Content, chr(10), concat(chr(13), chr(10))) AS PlainText FROM {v_source}"""
@@ -270,7 +271,7 @@ def canonical_values(d):
         "whole": "integer", "truth": "boolean", "day": "date", "clock": "time", "moment": "datetime",
         "words": "text", "number": "decimal",
     }
-    return d["v_cells"].select("Id", *[V.canonical_value(F.col(c), F.lit(k)).alias(c) for c, k in kinds.items()])
+    return spread(d["v_cells"], "Id").select("Id", *[V.canonical_value(F.col(c), F.lit(k)).alias(c) for c, k in kinds.items()])
 
 
 @query(
@@ -299,7 +300,7 @@ def value_errors(d):
 def legacy_values(d):
     u = F.lit("Unassigned")
     lv = lambda c, k, pf: V.legacy_value(F.col(c), F.lit(k), pf, u)
-    return d["v_cells"].select(
+    return spread(d["v_cells"], "Id").select(
         "Id", lv("truth", "boolean", "mac").alias("truth_mac"), lv("truth", "boolean", "windows").alias("truth_win"),
         lv("day", "Date", "windows").alias("day_win"), lv("moment", "DateTime", "mac").alias("moment_mac"),
         lv("moment", "datetime", "windows").alias("moment_win"),
@@ -314,7 +315,7 @@ def legacy_values(d):
 )
 def flatcode_values(d):
     kinds = {"truth": "boolean", "day": "date", "clock": "time", "moment": "datetime"}
-    return d["v_cells"].select("Id", *[V.flatcode_value(F.col(c), F.lit(k)).alias(c) for c, k in kinds.items()])
+    return spread(d["v_cells"], "Id").select("Id", *[V.flatcode_value(F.col(c), F.lit(k)).alias(c) for c, k in kinds.items()])
 
 
 @query(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from codespan.functions.values import TYPE_ORDER, type_mask
 from codespan.operators.numbering import first_by
+from codespan.session import spread
 
 
 def _type_of(mask: Column) -> Column:
@@ -28,11 +29,16 @@ def infer_attribute_types(df: DataFrame, columns: list[str], ignore_blank: bool
     """
     text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns}
 
-    def summary(c: str) -> list[Column]:
-        mask = F.when(text[c] != "", type_mask(text[c])) if ignore_blank else type_mask(text[c])
-        return [F.max(F.length(text[c])).alias(f"n_{c}"), F.bit_and(mask).alias(f"m_{c}")]
+    def mask(c: str) -> Column:
+        return F.when(text[c] != "", type_mask(text[c])) if ignore_blank else type_mask(text[c])
 
-    one = df.agg(*[a for c in columns for a in summary(c)])
+    # The masks are columns first, so that the aggregate does not work them out again.
+    masked = spread(df.select(*columns)).select(
+        *[F.length(text[c]).alias(f"n_{c}") for c in columns], *[mask(c).alias(f"m_{c}") for c in columns]
+    )
+    one = masked.agg(
+        *[F.max(f"n_{c}").alias(f"n_{c}") for c in columns], *[F.bit_and(f"m_{c}").alias(f"m_{c}") for c in columns]
+    )
     rows = F.array(
         *[
             F.struct(
@@ -47,10 +53,10 @@ def infer_attribute_types(df: DataFrame, columns: list[str], ignore_blank: bool
 
 def infer_value_types(values: DataFrame, key: str = "Attribute", value: str = "Value") -> DataFrame:
     """The same for a long table of values: one row per attribute."""
-    filled = values.filter(F.coalesce(F.col(value), F.lit("")) != "")
-    grouped = filled.groupBy(key).agg(
-        F.max(F.length(value)).alias("Length"), F.bit_and(type_mask(F.col(value))).alias("_mask")
+    filled = spread(values.select(key, value)).filter(F.coalesce(F.col(value), F.lit("")) != "").select(
+        key, F.length(value).alias("_length"), type_mask(F.col(value)).alias("_mask")
     )
+    grouped = filled.groupBy(key).agg(F.max("_length").alias("Length"), F.bit_and("_mask").alias("_mask"))
     return grouped.select(key, _type_of(F.col("_mask")).alias("Type"), "Length")
 
 

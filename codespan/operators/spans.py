@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from codespan.functions import offsets as O
 from codespan.functions.bind import let
 from codespan.functions.text import running_totals
+from codespan.session import cut
 
 CELL_WIDTH = 256
 
@@ -172,7 +173,8 @@ def _translate(spans: DataFrame, texts: DataFrame, measure, sign: int, edged: bo
     asked = spans.filter(F.col("start0").isNotNull() & F.col("length").isNotNull()).select(
         "Source", F.explode(F.array(F.col("start0"), end)).alias("k")
     ).filter(F.col("k") >= 0).distinct()
-    counts = counts_before(asked, texts, measure)
+    # Both ends of a span look offsets up; the texts are gone through once for both.
+    counts = cut(counts_before(asked, texts, measure))
     low = counts.select(F.col("Source").alias("_s1"), F.col("k").alias("_k1"), F.col("n").alias("_n1"), "edge")
     high = counts.select(F.col("Source").alias("_s2"), F.col("k").alias("_k2"), F.col("n").alias("_n2"))
     joined = spans.join(low, (F.col("Source") == F.col("_s1")) & (F.col("start0") == F.col("_k1")), "left").join(
@@ -232,9 +234,9 @@ def nonspace_to_char(spans: DataFrame, texts: DataFrame) -> DataFrame:
             ),
         )
 
-    found = asked.join(texts.filter(F.col("PlainText").isNotNull()), "Source").select(
+    found = cut(asked.join(texts.filter(F.col("PlainText").isNotNull()), "Source").select(
         "Source", F.inline(let(O.counted_positions(F.col("PlainText")), located))
-    )
+    ))
     first = found.select(F.col("Source").alias("_s1"), F.col("k").alias("_k1"), F.col("p").alias("_first"))
     last = found.select(F.col("Source").alias("_s2"), F.col("k").alias("_k2"), F.col("p").alias("_last"))
     end_key = F.col("StartText") + F.greatest(F.col("LengthText"), F.lit(1)) - 1

@@ -36,7 +36,7 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal a small table out over all cores before heavy work on each row.
 
     A scan of a small file is one task.  Only a table whose estimated size would
@@ -49,4 +49,4 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     split = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
         spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728b")
     ))
-    return df.repartition(cores, key) if size < split * cores else df
+    return df.repartition(cores, *keys) if size < split * cores else df
