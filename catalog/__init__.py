@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["spans", "tables", "texts", "trees", "taggings", "layouts"]
+MODULES = ["spans", "tables", "texts", "trees", "taggings", "layouts", "loads"]
 
 
 def load_all() -> None:

@@ -185,15 +185,19 @@ def canonical_value(value: Column, type_name: Column) -> Column:
     )
 
 
-def value_error(value: Column, type_name: Column, length: Column) -> Column:
-    """Null for a value that fits its attribute, else a short reason; blanks fit."""
+def value_error(value: Column, type_name: Column, length: Column, canonical: Column | None = None) -> Column:
+    """Null for a value that fits its attribute, else a short reason; blanks fit.
+
+    ``canonical`` is the value's canonical text where it is at hand already.
+    """
+    canonical = canonical_value(value, type_name) if canonical is None else canonical
     kind = _known_type(type_name)
     blank = value.isNull() | (value == "")
     return (
         F.when(blank, None)
         .when(~F.coalesce(kind.isin(list(DATA_TYPES.values())), F.lit(False)), "unknown attribute type")
         .when((kind == "text") & (length > 0) & (F.length(value) > length), "longer than attribute length")
-        .when(canonical_value(value, type_name).isNull(), F.concat(F.lit("not a value of type "), kind))
+        .when(canonical.isNull(), F.concat(F.lit("not a value of type "), kind))
     )
 
 

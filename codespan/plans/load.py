@@ -62,9 +62,9 @@ def _values(rows: DataFrame, entity: str, columns: list[str], attributes: DataFr
     """Canonical value rows; a value that does not fit its attribute fails the load."""
     cells = A.unpivot_values(rows.select(F.col("Id").alias(entity), *columns), entity, columns)
     known = attributes.select("Name", F.col("Id").alias("Attribute"), "Type", "Length")
-    typed = cells.join(known, "Name")
-    problem = value_error(F.col("Value"), F.col("Type"), F.col("Length"))
-    checked = F.when(problem.isNull(), canonical_value(F.col("Value"), F.col("Type"))).otherwise(
+    typed = cells.join(known, "Name").withColumn("_canonical", canonical_value(F.col("Value"), F.col("Type")))
+    problem = value_error(F.col("Value"), F.col("Type"), F.col("Length"), F.col("_canonical"))
+    checked = F.when(problem.isNull(), F.col("_canonical")).otherwise(
         F.raise_error(F.concat(F.lit("value "), F.col("Value"), F.lit(" of "), F.col("Name"), F.lit(": "), problem))
     )
     return typed.select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -59,15 +61,13 @@ def read_table_csv(
 def _read_after_comments(spark: SparkSession, path: str, options: dict) -> DataFrame:
     """The sheet below the comment lines at the top of a single file."""
     lines = with_row_numbers(spark.read.text(path), "_line")
-    first = lines.filter(~F.col("value").startswith("#")).agg(F.min("_line")).scalar()
-    header = lines.filter(~F.col("value").startswith("#")).orderBy("_line").limit(1).collect()
-    names = spark.read.options(**options | {"header": False}).csv(
-        spark.createDataFrame([(header[0][0],)], "value string")
-    ).first()
+    header = lines.filter(~F.col("value").startswith("#")).orderBy("_line").first()
+    names = next(csv.reader([header["value"]]))
     schema = ", ".join(f"`{n}` string" for n in names)
-    body = lines.withColumn("_first", first).filter(F.col("_line") > F.col("_first"))
+    first = F.lit(header["_line"])
+    body = lines.filter(F.col("_line") > first)
     cells = F.from_csv(F.col("value"), schema, {"escape": '"'})
-    return body.select(cells.alias("_c"), (F.col("_line") - F.col("_first")).alias("Row")).select("_c.*", "Row")
+    return body.select(cells.alias("_c"), (F.col("_line") - first).alias("Row")).select("_c.*", "Row")
 
 
 def read_source_files(spark: SparkSession, pattern: str, encoding: str = "UTF-8") -> DataFrame:
