@@ -54,7 +54,9 @@ def scenario(spark, tmp_path):
         [("t1", source, node["leaf"], "1:5", None), ("t2", source, None, "7:11", "note"), ("t3", source, node["all"], "13:17", None)],
         "Id string, Source string, Node string, Fragment string, Memo string",
     ).withColumns({"CreatedBy": F.lit("u1"), "CreatedDate": F.lit(OLD), "ModifiedBy": F.lit("u1"), "ModifiedDate": F.lit(OLD)})
-    return conform(p | {"Tagging": tags})
+    path = str(tmp_path / "scenario")
+    write_project(conform(p | {"Tagging": tags}), path)
+    return read_project(spark, path)
 
 
 def base_project(spark, windows):
