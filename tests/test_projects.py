@@ -33,6 +33,19 @@ leaf,child,,kind,,,,,
 """
 
 
+@pytest.fixture(autouse=True, scope="module")
+def small_plans(spark):
+    """Many joins over a handful of rows: compiling code for each would take longest."""
+    settings = {"spark.sql.codegen.wholeStage": "false", "spark.sql.shuffle.partitions": "1",
+                "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
 @pytest.fixture
 def scenario(spark, tmp_path):
     """A small project made the way a user would make it."""
