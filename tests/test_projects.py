@@ -46,9 +46,10 @@ def small_plans(spark):
         spark.conf.set(k, v)
 
 
-@pytest.fixture
-def scenario(spark, tmp_path):
+@pytest.fixture(scope="module")
+def scenario(spark, small_plans, tmp_path_factory):
     """A small project made the way a user would make it."""
+    tmp_path = tmp_path_factory.mktemp("scenario")
     sheet = tmp_path / "nodes.csv"
     sheet.write_text(NODE_SHEET)
     p = empty_project(spark)
