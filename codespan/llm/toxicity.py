@@ -22,9 +22,9 @@ from codespan.llm.store import by_row, text_key
 
 PER_CLASS = 4000  # labelled documents of each class that the model holds at most
 VOCABULARY = 512
-LEAST_DOCUMENTS = 4  # toxic examples that a word of the vocabulary stands in
-LEAST_CHI2 = 15.0
-LEAST_LIFT = 3.0
+LEAST_CONTEXTS = 5  # different words that a word of the vocabulary follows in toxic examples
+LEAST_CHI2 = 20.0
+LEAST_LIFT = 12.0
 NEIGHBOURS = 25
 BLOCK = 64  # examples of an index block
 SEPARATORS = bytes([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
@@ -32,21 +32,28 @@ _PATTERN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def vocabulary(sample: DataFrame, size: int = VOCABULARY) -> list[str]:
-    """Words that mark the toxic class in the sample, strongest first (at most ``size``)."""
+    """Words that mark the toxic class in the sample, strongest first (at most ``size``).
+
+    A word counts once for every different word it follows, so that copies of one
+    document, which repeat its words in place, are no evidence.
+    """
     folded = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = sample.select("label", "weight", F.explode(F.array_distinct(F.split(folded, _PATTERN, -1))).alias("word"))
-    n = {r[0]: (r[1], r[2]) for r in sample.groupBy("label").agg(F.count(F.lit(1)), F.sum("weight")).collect()}
+    words = sample.select("label", F.array_remove(F.split(folded, _PATTERN, -1), "").alias("w"))
+    pairs = words.select("label", F.explode(F.arrays_zip(
+        F.col("w").alias("word"), F.concat(F.array(F.lit("")), F.col("w")).alias("after")
+    )).alias("pair")).select("label", "pair.word", "pair.after").where("word is not null").distinct()
+    n = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
     if len(n) < 2:
         return []
-    n0, n1 = n[0][0], n[1][0]
-    a, b = F.col("toxic"), F.col("clean")
+    n0, n1 = n[0], n[1]
+    a, b = F.least("toxic", F.lit(float(n1))), F.least("clean", F.lit(float(n0)))
     c, d = F.lit(n1) - a, F.lit(n0) - b
     chi2 = (n0 + n1) * (a * d - b * c) ** 2 / ((a + b) * (c + d + 1e-9) * n0 * n1)
     lift = (a / n1) / ((b + 0.5) / n0)
     found = (
-        words.where("word <> ''").groupBy("word")
+        pairs.groupBy("word")
         .agg(F.sum("label").cast("double").alias("toxic"), F.sum(1 - F.col("label")).cast("double").alias("clean"))
-        .where(a >= LEAST_DOCUMENTS).withColumn("chi2", chi2).where(lift >= LEAST_LIFT)
+        .where(a >= LEAST_CONTEXTS).withColumn("chi2", chi2).where(lift >= LEAST_LIFT)
         .where(F.col("chi2") >= LEAST_CHI2)
         .orderBy(F.desc("chi2"), "word").limit(size)
     )
