@@ -20,7 +20,7 @@ from codespan.llm.store import text_key
 BLOCK_ROWS = 32
 QUOTAS = 1000  # slots that the shares are rounded to
 LANES = 200  # sources with a lane of their own; all smaller ones share one more
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 512
 
 
 def period(quotas: dict[str, int]) -> list[str]:
