@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from codespan.session import ensure_checkpoint_dir
 
-DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,11 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def keep(df: DataFrame) -> DataFrame:
     """Write a step to the checkpoint folder and read it back, which cuts its lineage.
 
-    Executors share that folder, so a lost one costs a retry of its tasks only.
+    Executors share that folder, so a lost one costs a retry of its tasks only.  The
+    step's shuffle files have no use once it is written and are removed with it.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/step-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     kept = spark.read.schema(df.schema).parquet(path)
     kept.kept_at = path
     return kept
