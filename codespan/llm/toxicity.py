@@ -123,12 +123,13 @@ class BlockMaxIndex:
 
     def __init__(self, vectors: np.ndarray):
         # Alike examples together make tight bounds.
-        self.ids = np.lexsort((vectors.argmax(axis=1), -np.count_nonzero(vectors, axis=1)))
+        heaviest = vectors.argmax(axis=1) if vectors.size else np.zeros(len(vectors), np.int64)
+        self.ids = np.lexsort((heaviest, -np.count_nonzero(vectors, axis=1)))
         n = -(-len(vectors) // BLOCK) * BLOCK
         self.weights = np.zeros((vectors.shape[1], n), np.float32)
         self.weights[:, : len(vectors)] = vectors[self.ids].T
         self.size = len(vectors)
-        self.most = self.weights.reshape(vectors.shape[1], -1, BLOCK).max(axis=2)
+        self.most = self.weights.reshape(vectors.shape[1], n // BLOCK, BLOCK).max(axis=2)
 
     def nearest(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of highest cosine, ties by place in the index, and their cosines."""
