@@ -95,7 +95,9 @@ UNION ALL SELECT concat('d', CAST(doc_id AS STRING)), 'sa_toxic',
 # memo-only annotations.
 VIEWS["v_span"] = """
 SELECT concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING), '-',
-              CAST(l_partkey AS STRING), '-', CAST(l_suppkey AS STRING)) AS Id,
+              CAST(l_partkey AS STRING), '-', CAST(l_suppkey AS STRING), '-',
+              CAST(CAST(l_quantity AS BIGINT) AS STRING), '-',
+              CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS STRING)) AS Id,
        concat('d', CAST(doc_id AS STRING)) AS Source,
        concat('n', CAST(l_suppkey % 25 AS STRING)) AS Node,
        1 + (l_orderkey * 37 + l_linenumber * 101) % n_chars AS First_,

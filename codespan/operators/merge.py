@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from codespan.functions.guard import demand
 from codespan.functions.ids import deterministic_id
 from codespan.schemas import AUDIT_COLUMNS, DEFAULT_DESCRIPTION, DEFAULT_USER, FORMAT_VERSION
 from codespan.sources.project import shape
@@ -30,12 +31,7 @@ def unique_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     grouped = df.groupBy(*keys).agg(
         F.any_value(F.struct(F.lit(0).alias("_"), *rest)).alias("_row"), F.count(F.lit(1)).alias("_n")
     )
-    checked = grouped.withColumn(
-        "_row",
-        F.when(F.col("_n") == 1, F.col("_row")).otherwise(
-            F.raise_error(F.concat(F.lit("duplicate key in data: "), text))
-        ),
-    )
+    checked = demand(grouped, F.col("_n") == 1, F.concat(F.lit("duplicate key in data: "), text))
     return checked.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 

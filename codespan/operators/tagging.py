@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from codespan.functions.guard import demand
 from codespan.functions import fragments as FR
 from codespan.functions.ids import deterministic_id
 from codespan.functions.text import running_totals
@@ -83,9 +84,7 @@ def _as_taggings(resolved: DataFrame, key: list[str], strict: bool) -> DataFrame
             F.lit("illegal tagging: "), F.col("Problem"), F.lit(" in "), F.coalesce("Fragment", F.lit("")),
             F.lit(", content length is "), F.coalesce(F.col("Length").cast("string"), F.lit("unknown")),
         )
-        good = resolved.withColumn(
-            "Fragment", F.when(F.col("Problem").isNull(), F.col("Fragment")).otherwise(F.raise_error(message))
-        )
+        good = demand(resolved, F.col("Problem").isNull(), message)
     else:
         good = resolved.filter(F.col("Problem").isNull())
     parts = [F.col(c) for c in ("SourceId", "NodeId", "Fragment", "Memo", *key)]

@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codespan.operators.numbering import number_rows
 from codespan.session import cut
 
-MAX_DEPTH = 4096
-
 
 def orphans(nodes: DataFrame) -> DataFrame:
     """Nodes whose parent does not exist."""
@@ -19,25 +15,25 @@ def orphans(nodes: DataFrame) -> DataFrame:
     return nodes.filter(F.col("Parent").isNotNull()).join(ids, F.col("Parent") == F.col("_p"), "left_anti")
 
 
-def _climb(nodes: DataFrame, max_depth: int) -> tuple[DataFrame, DataFrame]:
+def _climb(nodes: DataFrame, named: bool) -> tuple[DataFrame, DataFrame]:
     """Every node with its distance to the top, by doubling the stride each round.
 
-    A row knows an ancestor ``up`` some steps away and the path down from it;
-    joining the ancestor's own row on doubles the stride, so a tree of depth d
-    takes log2(d) joins.  Finished rows leave the joining side.  Rows still
-    climbing after ``max_depth`` steps sit on a cycle.
+    A row knows an ancestor ``up`` some steps away and, if ``named``, the path down
+    from it; joining the ancestor's own row on doubles the stride, so a tree of
+    depth d takes log2(d) joins.  Finished rows leave the joining side.  A row that
+    still climbs after more steps than there are nodes sits on or below a cycle.
     """
     lost = orphans(nodes).select(F.col("Id").alias("_lost"))
     state = nodes.join(lost, F.col("Id") == F.col("_lost"), "left").select(
         "Id",
         F.when(F.col("_lost").isNull(), F.col("Parent")).alias("up"),
         F.when(F.col("Parent").isNotNull() & F.col("_lost").isNull(), 1).otherwise(0).alias("steps"),
-        F.col("Name").alias("path"),
+        (F.col("Name") if named else F.lit(None).cast("string")).alias("path"),
         F.col("Id").alias("top"),
         F.col("_lost").isNotNull().alias("lost"),
     )
     state = cut(state)
-    for _ in range(max(1, math.ceil(math.log2(max_depth)))):
+    for _ in range(state.count().bit_length() + 1):
         climbing = state.filter(F.col("up").isNotNull())
         if climbing.isEmpty():
             return state, climbing
@@ -54,13 +50,16 @@ def _climb(nodes: DataFrame, max_depth: int) -> tuple[DataFrame, DataFrame]:
     return state.filter(F.col("up").isNull()), state.filter(F.col("up").isNotNull())
 
 
-def tree_walk(nodes: DataFrame, folder: str | None = None, max_depth: int = MAX_DEPTH) -> DataFrame:
+def tree_walk(nodes: DataFrame, folder: str | None = None) -> DataFrame:
     """Id, Depth, TopParent, HierarchicalName and RoleTag of every reachable node.
 
     ``nodes``: Id, Parent, Name.  The tag is ``(depth << 16) + index`` among the
     siblings; the name is prefixed by the folder and two backslashes.
     """
-    reached, _ = _climb(nodes, max_depth)
+    _, cyclic = _climb(nodes, named=False)
+    # On a cycle paths would never stop growing; they are made for the other nodes only.
+    sound = nodes.join(cyclic.select("Id"), "Id", "left_anti")
+    reached, _ = _climb(sound, named=True)
     prefix = F.lit(f"{folder}\\\\") if folder else F.lit("")
     walked = reached.filter(~F.col("lost")).select(
         "Id", F.col("steps").alias("Depth"), F.col("top").alias("TopParent"),
@@ -73,19 +72,20 @@ def tree_walk(nodes: DataFrame, folder: str | None = None, max_depth: int = MAX_
     )
 
 
-def unreachable(nodes: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def unreachable(nodes: DataFrame) -> DataFrame:
     """Nodes below an orphan, or on or below a cycle, with the reason."""
-    reached, cyclic = _climb(nodes, max_depth)
+    reached, cyclic = _climb(nodes, named=False)
     below_orphan = reached.filter("lost").select("Id", F.lit("orphan").alias("Reason"))
     return below_orphan.unionByName(cyclic.select("Id", F.lit("cycle").alias("Reason")))
 
 
-def aggregate_pairs(nodes: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def aggregate_pairs(nodes: DataFrame) -> DataFrame:
     """(Id, Ancestor): each node with itself and the ancestors it aggregates to.
 
     A step up counts while the parent is marked ``Aggregate``.  The closure is
     doubled each round: every pair reaching exactly as far as the stride is
-    extended by all the pairs of its end.
+    extended by all the pairs of its end, until that finds nothing new, which
+    ends on cycles too.  Every pair comes once.
     """
     parents = nodes.filter(F.coalesce(F.col("Aggregate"), F.lit(False))).select(F.col("Id").alias("_p"))
     edges = cut(
@@ -95,14 +95,15 @@ def aggregate_pairs(nodes: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     )
     farthest = edges
     closed = edges
-    for _ in range(max(1, math.ceil(math.log2(max_depth)))):
-        if farthest.isEmpty():
-            break
+    while not farthest.isEmpty():
         ends = lambda df: df.select(F.col("Id").alias("_id"), F.col("Ancestor").alias("_anc"))
         extend = lambda by: farthest.join(ends(by), F.col("Ancestor") == F.col("_id")).select(
             "Id", F.col("_anc").alias("Ancestor")
-        )
-        more, farthest = cut(extend(closed)), cut(extend(farthest))
+        ).distinct()
+        more = cut(extend(closed).join(closed, ["Id", "Ancestor"], "left_anti"))
+        if more.isEmpty():
+            break
+        farthest = cut(extend(farthest))
         closed = closed.unionByName(more)
     itself = nodes.select("Id", F.col("Id").alias("Ancestor"))
-    return itself.unionByName(closed)
+    return itself.unionByName(closed.filter(F.col("Id") != F.col("Ancestor")))

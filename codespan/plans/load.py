@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from codespan.functions.guard import demand
 from codespan.functions.ids import deterministic_id
 from codespan.functions.text import running_totals
 from codespan.functions.values import canonical_value, value_error
@@ -64,11 +65,9 @@ def _values(rows: DataFrame, entity: str, columns: list[str], attributes: DataFr
     known = attributes.select("Name", F.col("Id").alias("Attribute"), "Type", "Length")
     typed = cells.join(known, "Name").withColumn("_canonical", canonical_value(F.col("Value"), F.col("Type")))
     problem = value_error(F.col("Value"), F.col("Type"), F.col("Length"), F.col("_canonical"))
-    checked = F.when(problem.isNull(), F.col("_canonical")).otherwise(
-        F.raise_error(F.concat(F.lit("value "), F.col("Value"), F.lit(" of "), F.col("Name"), F.lit(": "), problem))
-    )
-    return typed.select(
-        entity, "Attribute", checked.alias("Value"), *[c.alias(k) for k, c in _stamps(user, now).items()]
+    message = F.concat(F.lit("value "), F.col("Value"), F.lit(" of "), F.col("Name"), F.lit(": "), problem)
+    return demand(typed, problem.isNull(), message).select(
+        entity, "Attribute", F.col("_canonical").alias("Value"), *[c.alias(k) for k, c in _stamps(user, now).items()]
     )
 
 

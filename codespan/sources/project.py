@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from codespan.functions.guard import demand
 from codespan.schemas import (
     CANONICAL, DELETE_ORDER, FLATCODE, FLATCODE_READ, FLATCODE_VERSION, FORMAT_VERSION,
     IMAGECODING, LEGACY,
@@ -162,12 +163,8 @@ def legacy_version(raw: Project) -> DataFrame:
 
 def checked_project_row(project: DataFrame, column: str, expected: str) -> DataFrame:
     """The project row; any action fails when its version is another one."""
-    return project.withColumn(
-        column,
-        F.when(F.col(column) == expected, F.col(column)).otherwise(
-            F.raise_error(F.concat(F.lit("incompatible version: "), F.coalesce(F.col(column), F.lit("none"))))
-        ),
-    )
+    message = F.concat(F.lit("incompatible version: "), F.coalesce(F.col(column), F.lit("none")))
+    return demand(project, F.col(column) == expected, message)
 
 
 def read_flatcode(raw: Project) -> Project:

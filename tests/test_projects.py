@@ -209,7 +209,6 @@ def test_legacy_round_trip(spark, scenario, platform):
     assert layout.count("<Row ") == 2 and layout.endswith("</CategoryLayout>")
 
 
-@pytest.mark.skipif(not os.environ.get("RUN_SLOW"), reason="several whole exports; set RUN_SLOW=1")
 def test_composed_conversions(spark, scenario):
     base = base_project(spark, True)
     raw = export_legacy(scenario, base, actions=Actions(project="overwrite"))
