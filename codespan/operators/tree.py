@@ -100,7 +100,10 @@ def aggregate_pairs(nodes: DataFrame) -> DataFrame:
         extend = lambda by: farthest.join(ends(by), F.col("Ancestor") == F.col("_id")).select(
             "Id", F.col("_anc").alias("Ancestor")
         ).distinct()
-        more = cut(extend(closed).join(closed, ["Id", "Ancestor"], "left_anti"))
+        known = closed.select(F.col("Id").alias("_i"), F.col("Ancestor").alias("_a"))
+        more = cut(extend(closed).join(
+            known, (F.col("Id") == F.col("_i")) & (F.col("Ancestor") == F.col("_a")), "left_anti"
+        ))
         if more.isEmpty():
             break
         farthest = cut(extend(farthest))
