@@ -87,7 +87,10 @@ def test_jaccard_join_is_exact(rows, docs, empty):
     assert jaccard_join.near_duplicates(empty).count() == 0
 
 
-def test_jaccard_join_of_a_group_of_near_copies_without_a_centre(spark):
+@pytest.mark.parametrize("cold, block", [(jaccard_join.COLD, jaccard_join.BLOCK), (3, 4), (0, 7)])
+def test_jaccard_join_of_a_group_of_near_copies_without_a_centre(spark, monkeypatch, cold, block):
+    monkeypatch.setattr(jaccard_join, "COLD", cold)
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
     r = random.Random(2)
     words = prose(r, 80).split()
     rows = []
