@@ -15,21 +15,52 @@ from codespan.llm.hashing import mix, slices
 from codespan.llm.store import by_row, keep, text_key
 
 RUN = 3  # sentences hashed together
-LONGEST = 12  # words; a longer sentence is cut into pieces of so many
+LONGEST = 12  # words; a longer sentence is cut into pieces of so many at most
 LEAST = 20  # words that covered neighbours must have to be removed
 _SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+(?=\s|$)|\n|[.!?]|$)\s*")
-_WORDS = re.compile(r"(?:\s*\S+){1,%d}\s*" % LONGEST)
+# A character of a script written without spaces is a word of its own.
+_OWN = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\ua4cf\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff"
+_WORDS = re.compile(rf"\s*(?:[{_OWN}]|[^\s{_OWN}]+)\s*")
+_UNSPACED = re.compile(f"[{_OWN}]")
+
+
+def n_words(piece: str) -> int:
+    if piece.isascii() or not _UNSPACED.search(piece):
+        return len(piece.split())
+    return len(_WORDS.findall(piece))
+
+
+def cuts(hashes: list[int]) -> list[int]:
+    """Words after which a long sentence is cut: the last least hash of every LONGEST neighbours.
+
+    Only the words around a cut decide about it, so a passage is cut alike wherever it
+    stands, but for LONGEST words at its ends; and no piece is longer than LONGEST.
+    """
+    out, at = [], -1
+    for i in range(len(hashes) - LONGEST + 1):
+        end = i + LONGEST
+        if at < i:
+            window = hashes[i:end]
+            at = end - 1 - window[::-1].index(min(window))
+        elif hashes[end - 1] <= hashes[at]:
+            at = end - 1
+        else:
+            continue
+        out.append(at + 1)
+    return out
 
 
 def sentences(text: str) -> list[str]:
-    """Pieces that make up the text again: sentences, long ones cut every LONGEST words."""
+    """Pieces that make up the text again: sentences, long ones cut where their words decide."""
     out = []
     for found in _SENTENCE.findall(text):
-        if found.count(" ") < LONGEST:
+        if n_words(found) <= LONGEST:
             if found:
                 out.append(found)
-        else:
-            out.extend(_WORDS.findall(found) if found.strip() else [found])
+            continue
+        words = _WORDS.findall(found)
+        edges = [0, *cuts([xxhash.xxh64_intdigest(w.strip()) for w in words]), len(words)]
+        out.extend("".join(words[b:e]) for b, e in zip(edges, edges[1:]) if b < e)
     return out
 
 
@@ -57,8 +88,8 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def cut(text: str, starts: list[int]) -> tuple[str, int, int]:
-    """The text without what the runs at ``starts`` cover; its pieces and how many went."""
+def cut(text: str, starts: list[int]) -> tuple[str, int, int, int]:
+    """The text without what the runs at ``starts`` cover; its pieces, how many went, how many LEAST kept."""
     pieces = sentences(text)
     covered = np.zeros(len(pieces) + 1, bool)
     for s in starts:
@@ -67,24 +98,26 @@ def cut(text: str, starts: list[int]) -> tuple[str, int, int]:
     edges = np.flatnonzero(np.diff(covered.astype(np.int8), prepend=0))
     gone = np.zeros(len(pieces), bool)
     for b, e in zip(edges[::2], edges[1::2]):
-        if sum(len(p.split()) for p in pieces[b:e]) >= LEAST:
+        if sum(map(n_words, pieces[b:e])) >= LEAST:
             gone[b:e] = True
-    return "".join(p for p, g in zip(pieces, gone) if not g), len(pieces), int(gone.sum())
+    return "".join(p for p, g in zip(pieces, gone) if not g), len(pieces), int(gone.sum()), int((covered[:-1] & ~gone).sum())
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        text, total, removed = [], [], []
+        text, total, removed, short = [], [], [], []
         for t, starts in zip(batch.column("text").to_pylist(), batch.column("starts").to_pylist()):
             if starts:
-                t, n, gone = cut(t, starts)
+                t, n, gone, spared = cut(t, starts)
             else:
-                n, gone = len(sentences(t or "")), 0
+                n, gone, spared = len(sentences(t or "")), 0, 0
             text.append(t)
             total.append(n)
             removed.append(gone)
+            short.append(spared)
         new = {"text": pa.array(text, pa.string()), "n_pieces": pa.array(total, pa.int64()),
-               "n_removed": pa.array(removed, pa.int64())}
+               "n_removed": pa.array(removed, pa.int64()),
+               "n_short": pa.array(short, pa.int64())}
         rest = [c for c in batch.schema.names if c not in (*new, "starts")]
         yield pa.record_batch(
             [*[batch.column(c) for c in rest], *new.values()], names=[*rest, *new]
@@ -111,10 +144,12 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text`` without repeated passages, n_pieces and n_removed of every row.
+    """``doc_id``, ``text`` without repeated passages, n_pieces, n_removed and n_short of every row.
 
     A passage goes where it is not the first: neighbouring sentences that repeated
-    runs cover, if they have LEAST words together.  Texts of fewer than RUN
+    runs cover, if they have LEAST words together; n_short counts the covered ones
+    that stay for want of them.  60 equal words always hold a run, whatever stands
+    around them; at most LONGEST words at each end of a passage stay.  Texts of fewer than RUN
     sentences have no runs.  Null texts stay null; rows that repeat both doc_id
     and text are cut alike.  Columns besides doc_id and text are left out.
     """
@@ -124,5 +159,5 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     joined = by_row(rows, gone, "left", "starts")
     return joined.select("doc_id", "text", "starts").mapInArrow(
-        _cut, "doc_id long, text string, n_pieces long, n_removed long"
+        _cut, "doc_id long, text string, n_pieces long, n_removed long, n_short long"
     )

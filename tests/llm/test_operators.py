@@ -187,6 +187,27 @@ def test_repeated_passages_go_where_they_are_not_first(spark, rows, docs, empty)
         assert "".join(span_dedup.sentences(row[1] or "")) == (row[1] or "")
 
 
+def test_long_sentences_are_cut_alike_at_any_offset(spark):
+    r = random.Random(9)
+    passage = " ".join(f"p{r.randrange(10**6)}" for _ in range(60))
+    kanji = "".join(chr(0x4E00 + r.randrange(5000)) for _ in range(60))
+    rows = [(0, f"start {passage} end", "", "", 0), (1, f"始{kanji}終", "", "", 0)]
+    rows += [(2 + k, " ".join(f"own{k}x{i}" for i in range(k)) + (". " if k % 2 else " ") + passage + f" tail{k}", "", "", 0)
+             for k in range(1, 30)]
+    rows += [(100 + k, "".join(chr(0x6E00 + 40 * k + i) for i in range(k)) + kanji, "", "", 0) for k in range(1, 14)]
+    rows += [(200, "A. B. C. D.", "", "", 0), (201, "A. B. C. D.", "", "", 0)]
+    out = {x.doc_id: x for x in span_dedup.remove_repeats(spark.createDataFrame(rows, DOCS)).collect()}
+    for doc_id, text, *_ in rows:
+        pieces = span_dedup.sentences(text)
+        assert "".join(pieces) == text and max(map(span_dedup.n_words, pieces)) <= span_dedup.LONGEST
+        if 2 < doc_id < 200:  # what stays of the passage is less than LONGEST words at either end
+            gone = span_dedup.n_words(text) - span_dedup.n_words(out[doc_id].text)
+            assert gone >= 60 - 2 * (span_dedup.LONGEST - 1)
+    assert (out[200].n_short, out[201].n_short, out[201].n_removed) == (0, 4, 0)
+    same = ["the"] * 40 + ["a", "b"] * 30
+    assert all(len(p.split()) <= span_dedup.LONGEST for p in span_dedup.sentences(" ".join(same)))
+
+
 def test_mixing_keeps_every_row_and_its_share(docs, rows, empty):
     got = mixing.mix(docs, block_rows=2).select("doc_id", "source", "mix_slot", "mix_position").collect()
     assert len(got) == len(rows) and len({r.mix_position for r in got}) == len(rows)
