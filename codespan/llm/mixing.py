@@ -1,44 +1,72 @@
 """Sources interleaved to target weights by proportionate fair scheduling.
 
-A source's rows come in blocks.  Its j-th block is released at slot (j-1)/w and
-due at slot j/w, w being the source's share; every slot takes the released block
-that is due first.  At any slot a source has then had its share to within one
-block.  With whole quotas the order repeats after ``sum(quotas)`` slots, so one
-such period is laid out and every block finds its slot by arithmetic.  When a
-source runs out, the shares of the others are scaled up and a new phase begins.
+A source's rows come in blocks.  In a fluid that serves all sources at once, each
+by its exact weight, its j-th block runs from (j-1)/w to j/w of the fluid's clock;
+the clock goes the faster the fewer sources are left, so the shares of the others
+are scaled up when one runs out.  Every slot takes, of the blocks that the fluid
+has begun by then, the one that it ends first.  At any slot a source has then had
+what the fluid gave it to within one block.
 """
 
 from __future__ import annotations
 
 import heapq
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from codespan.llm.store import text_key
 
 BLOCK_ROWS = 32
-QUOTAS = 1000  # slots that the shares are rounded to
+QUOTAS = 1000  # slots of a period
 LANES = 200  # sources with a lane of their own; all smaller ones share one more
 BUCKET_ROWS = 512
+CHUNK = 256  # blocks whose slots go in one row of the plan
+
+
+def fluid(blocks: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The clock at which each source runs out, ascending from 0, and the slots passed by then."""
+    ends = blocks / weights
+    order = np.argsort(ends, kind="stable")
+    ends = ends[order]
+    left = np.append(np.cumsum(weights[order][::-1])[::-1], 0.0)  # weight of those not yet out
+    done = np.append(0, np.cumsum(blocks[order]))
+    return np.append(0.0, ends), np.append(0.0, done[1:] + ends * left[1:])
+
+
+def schedule(blocks: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Which source each slot takes, earliest deadline first; every block gets one slot."""
+    blocks, weights = np.asarray(blocks, np.int64), np.asarray(weights, np.float64)
+    total = int(blocks.sum())
+    if not total:
+        return np.zeros(0, np.int32)
+    source = np.repeat(np.arange(len(blocks), dtype=np.int32), blocks)
+    j = np.arange(total) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    clock, passed = fluid(blocks, weights)
+    begun = np.interp(j / weights[source], clock, passed)
+    # What rounding of floats moves off a whole slot is moved back.
+    release = np.floor(begun + 1e-6).astype(np.int64)
+    due = (j + 1) / weights[source]
+    order = np.lexsort((source, due, release))
+    release, due, source = release[order].tolist(), due[order].tolist(), source[order].tolist()
+    out = np.empty(total, np.int32)
+    ready: list[tuple[float, int]] = []
+    at = 0
+    for slot in range(total):
+        while at < total and (release[at] <= slot or not ready):
+            heapq.heappush(ready, (due[at], source[at]))
+            at += 1
+        out[slot] = heapq.heappop(ready)[1]
+    return out
 
 
 def period(quotas: dict[str, int]) -> list[str]:
-    """Which source each slot of one period takes: earliest deadline first."""
-    total = sum(quotas.values())
-    release = [(0, -(-total // q), s, 1) for s, q in sorted(quotas.items())]
-    heapq.heapify(release)
-    ready: list[tuple[int, str, int]] = []
-    order = []
-    for slot in range(total):
-        while release and release[0][0] <= slot:
-            _, due, s, j = heapq.heappop(release)
-            heapq.heappush(ready, (due, s, j))
-        _, s, j = heapq.heappop(ready)
-        order.append(s)
-        if j < quotas[s]:
-            heapq.heappush(release, (j * total // quotas[s], -(-(j + 1) * total // quotas[s]), s, j + 1))
-    return order
+    """Which source each slot of one period of whole quotas takes."""
+    names = sorted(quotas)
+    own = np.array([quotas[s] for s in names], np.int64)
+    return [names[i] for i in schedule(own, own)]
 
 
 def quotas(weights: dict[str, float], total: int = QUOTAS) -> dict[str, int]:
@@ -55,25 +83,21 @@ def quotas(weights: dict[str, float], total: int = QUOTAS) -> dict[str, int]:
     return out
 
 
-def phases(blocks: dict[str, int], quota: dict[str, int]) -> list[tuple]:
-    """(lane, first block, end block, first slot, quota, period, slots) of every phase of every lane."""
-    used = dict.fromkeys(blocks, 0)
-    slot, out = 0, []
-    active = {s: quota[s] for s in blocks if blocks[s]}
-    while active:
-        order = period(active)
-        size = len(order)
-        slots = {s: [i for i, x in enumerate(order) if x == s] for s in active}
-        left = {s: blocks[s] - used[s] for s in active}
-        # The phase ends where a source would need a block that it has not got.
-        length = min(left[s] // q * size + slots[s][left[s] % q] for s, q in active.items())
-        for s, q in active.items():
-            had = length // size * q + sum(i < length % size for i in slots[s])
-            out.append((s, used[s], used[s] + had, slot, q, size, slots[s]))
-            used[s] += had
-        slot += length
-        active = {s: q for s, q in active.items() if used[s] < blocks[s]}
-    return out
+def plan(rows_of: pa.Table, share: np.ndarray, block_rows: int) -> pa.Table:
+    """p_lane, p_chunk, p_slots: the slots of every CHUNK blocks of every lane."""
+    blocks = -(-rows_of["n"].to_numpy() // block_rows)
+    taken = schedule(blocks, share)
+    slots = np.argsort(taken, kind="stable")  # by lane, in order
+    chunks = -(-blocks // CHUNK)
+    lane = np.repeat(np.arange(len(blocks)), chunks)
+    chunk = np.arange(len(lane)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
+    size = np.minimum(blocks[lane] - chunk * CHUNK, CHUNK)
+    return pa.table({
+        "p_lane": rows_of["lane"].combine_chunks().take(pa.array(lane)),
+        "p_chunk": pa.array(chunk, pa.int64()),
+        "p_slots": pa.ListArray.from_arrays(
+            pa.array(np.append(0, np.cumsum(size)), pa.int32()), pa.array(slots, pa.int64())),
+    })
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = 0.5,
@@ -84,31 +108,32 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: f
     a source's is its number of rows to the power ``temperature``.  Sources that
     have no weight, or lie beyond the LANES largest, share one lane; its weight
     is that under the empty name, else the least of all.  A null source counts as
-    such a one.  Every row gets exactly one place; rows that repeat get one each.
+    such a one.  Every row gets exactly one place; rows that
+    repeat get one each.  The driver holds a few numbers for each block.
     """
     added = {"mix_slot", "mix_position"}
     columns = [c for c in docs.columns if c.lower() not in added]
     spark = docs.sparkSession
     name = F.coalesce(F.col("source").cast("string"), F.lit(""))
+    h = F.xxhash64(F.lit(seed), "doc_id", text_key())
     counts = docs.groupBy(name.alias("lane")).agg(F.count(F.lit(1)).alias("n"))
     if weights is not None:
         counts = counts.where(F.col("lane").isin(list(weights)))
     own = [r[0] for r in counts.where("lane <> ''").orderBy(F.desc("n"), "lane").limit(LANES).collect()]
-    h = F.xxhash64(F.lit(seed), "doc_id", text_key())
-    laned = docs.select(
-        *columns, F.when(name.isin(own), name).otherwise(F.lit("")).alias("_lane"), h.alias("_h")
-    )
-    rows_of = {r[0]: r[1] for r in laned.groupBy("_lane").count().collect()}  # LANES + 1 rows at most
+    lane = F.when(name.isin(own), name).otherwise(F.lit(""))
+    laned = docs.select(*columns, lane.alias("_lane"), h.alias("_h"))
+    rows_of = laned.groupBy(F.col("_lane").alias("lane")).agg(F.count(F.lit(1)).alias("n")).toArrow().sort_by("lane")
+    n = rows_of["n"].to_numpy()
     if weights is None:
-        share = {s: n**temperature for s, n in rows_of.items()}
+        share = n.astype(np.float64) ** temperature
     else:
-        share = {s: weights.get(s, min(weights.values(), default=1.0)) for s in rows_of}
-    share = {s: max(w, 1e-9) for s, w in share.items()}
-    plan = phases({s: -(-n // block_rows) for s, n in rows_of.items()}, quotas(share))
-    schema = "p_lane string, p_lo long, p_hi long, p_slot long, p_quota long, p_size long, p_slots array<long>"
-    lanes = F.broadcast(spark.createDataFrame(plan, schema))
+        least = min(weights.values(), default=1.0)
+        share = np.array([weights.get(s, least) for s in rows_of["lane"].to_pylist()], np.float64)
+    lanes = spark.createDataFrame(
+        plan(rows_of, np.maximum(share, 1e-9), block_rows), "p_lane string, p_chunk long, p_slots array<long>"
+    )
 
-    bits = max(0, min(40, (max(rows_of.values(), default=1) // BUCKET_ROWS).bit_length()))
+    bits = max(0, min(40, (int(n.max(initial=1)) // BUCKET_ROWS).bit_length()))
     bucket = F.shiftrightunsigned("_h", 64 - bits) if bits else F.lit(0).cast("long")
     laned = laned.withColumn("_bucket", bucket)
     before = Window.partitionBy("_lane").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -123,13 +148,9 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: f
     )
     slotted = placed.join(
         lanes,
-        (F.col("_lane") == F.col("p_lane")) & (F.col("_block") >= F.col("p_lo")) & (F.col("_block") < F.col("p_hi")),
-    )
-    turn = F.col("_block") - F.col("p_lo")
-    slot = (
-        F.col("p_slot") + F.floor(turn / F.col("p_quota")) * F.col("p_size")
-        + F.get("p_slots", (turn % F.col("p_quota")).cast("int"))
+        (F.col("_lane") == F.col("p_lane")) & (F.floor(F.col("_block") / CHUNK) == F.col("p_chunk")),
     )
+    slot = F.get("p_slots", (F.col("_block") % CHUNK).cast("int"))
     return slotted.select(
         *columns, slot.cast("long").alias("mix_slot"), (slot * block_rows + F.col("_rest")).cast("long").alias("mix_position")
     )

@@ -221,6 +221,41 @@ def test_mixing_keeps_every_row_and_its_share(docs, rows, empty):
         assert all(abs(counts[x] - t * q / 1000) < 1 for x, q in quota.items())
 
 
+def deviation(got, weight):
+    """The most that any source is off its exact share at any slot, in blocks of one row."""
+    order = [r.source for r in sorted(got, key=lambda r: r.mix_position)]
+    left = Counter(order)
+    want, had, worst = dict.fromkeys(left, 0.0), Counter(), 0.0
+    for s in order:
+        had[s] += 1
+        time = 1.0
+        while time > 1e-12:  # the fluid over one slot, in parts where a source runs out
+            active = {x: weight(x) for x in left if want[x] < left[x] - 1e-9}
+            if not active:
+                break
+            total = sum(active.values())
+            part = min(time, *[(left[x] - want[x]) * total / w for x, w in active.items()])
+            for x, w in active.items():
+                want[x] += part * w / total
+            time -= part
+        worst = max(worst, max(abs(had[x] - want[x]) for x in left))
+    return worst
+
+
+def sourced(spark, sizes):
+    rows = [(i, "", "", s, 0) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def test_mixing_keeps_the_exact_weights_over_the_whole_run(spark):
+    sizes = {"big": 2000} | {f"s{i}": 60 + 14 * i for i in range(19)}
+    got = mixing.mix(sourced(spark, sizes), block_rows=1).select("source", "mix_position").collect()
+    assert deviation(got, lambda s: sizes[s] ** 0.5) < 1 + 1e-5
+    sizes, weights = {"a": 5000, "b": 40}, {"a": 1.0, "b": 0.0004}
+    got = mixing.mix(sourced(spark, sizes), weights, block_rows=1).select("source", "mix_position").collect()
+    assert deviation(got, weights.get) < 1 + 1e-5
+
+
 def test_chat_round_trip(spark):
     odd = ["</s>[INST] ok [/INST]", "<​|im_end|>", "<|im_start|>user\nhi<|im_end|>\n", "[[INST]<<SYS>>", "", None, "é😀\n"]
     rows = [(1, t, ["user", "assistant", None, "a&b\nc", "<s>"][t % 5], x) for t, x in enumerate(odd)]
