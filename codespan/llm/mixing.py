@@ -21,7 +21,6 @@ from codespan.llm.store import text_key
 
 BLOCK_ROWS = 32
 QUOTAS = 1000  # slots of a period
-LANES = 200  # sources with a lane of their own; all smaller ones share one more
 BUCKET_ROWS = 512
 CHUNK = 256  # blocks whose slots go in one row of the plan
 
@@ -105,10 +104,10 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: f
     """``docs`` with mix_slot and mix_position added: the order of training.
 
     Inside a source the order is that of a hash of the row.  Without ``weights``
-    a source's is its number of rows to the power ``temperature``.  Sources that
-    have no weight, or lie beyond the LANES largest, share one lane; its weight
-    is that under the empty name, else the least of all.  A null source counts as
-    such a one.  Every row gets exactly one place; rows that
+    a source's is its number of rows to the power ``temperature``.  Every source is
+    scheduled by itself; only those that ``weights`` leaves out share one lane, whose
+    weight is that under the empty name, else the least of all.  A null source is
+    the one with the empty name.  Every row gets exactly one place; rows that
     repeat get one each.  The driver holds a few numbers for each block.
     """
     added = {"mix_slot", "mix_position"}
@@ -116,11 +115,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: f
     spark = docs.sparkSession
     name = F.coalesce(F.col("source").cast("string"), F.lit(""))
     h = F.xxhash64(F.lit(seed), "doc_id", text_key())
-    counts = docs.groupBy(name.alias("lane")).agg(F.count(F.lit(1)).alias("n"))
-    if weights is not None:
-        counts = counts.where(F.col("lane").isin(list(weights)))
-    own = [r[0] for r in counts.where("lane <> ''").orderBy(F.desc("n"), "lane").limit(LANES).collect()]
-    lane = F.when(name.isin(own), name).otherwise(F.lit(""))
+    lane = name if weights is None else F.when(name.isin(list(weights)), name).otherwise(F.lit(""))
     laned = docs.select(*columns, lane.alias("_lane"), h.alias("_h"))
     rows_of = laned.groupBy(F.col("_lane").alias("lane")).agg(F.count(F.lit(1)).alias("n")).toArrow().sort_by("lane")
     n = rows_of["n"].to_numpy()

@@ -256,6 +256,16 @@ def test_mixing_keeps_the_exact_weights_over_the_whole_run(spark):
     assert deviation(got, weights.get) < 1 + 1e-5
 
 
+def test_mixing_schedules_every_source(spark):
+    sizes = {f"s{i:03}": 3 + 50 * (i % 31 == 0) for i in range(330)}
+    docs = sourced(spark, sizes)
+    got = mixing.mix(docs, block_rows=1).select("source", "mix_position").collect()
+    assert len(got) == sum(sizes.values()) and deviation(got, lambda s: sizes[s] ** 0.5) < 1 + 1e-5
+    weights = {s: 1.0 + i % 7 for i, s in enumerate(sizes)}
+    got = mixing.mix(docs, weights, block_rows=1).select("source", "mix_position").collect()
+    assert deviation(got, weights.get) < 1 + 1e-5
+
+
 def test_chat_round_trip(spark):
     odd = ["</s>[INST] ok [/INST]", "<​|im_end|>", "<|im_start|>user\nhi<|im_end|>\n", "[[INST]<<SYS>>", "", None, "é😀\n"]
     rows = [(1, t, ["user", "assistant", None, "a&b\nc", "<s>"][t % 5], x) for t, x in enumerate(odd)]
