@@ -1,7 +1,8 @@
 """Toxicity by the nearest labelled examples, exact TF-IDF cosine over a block-max index.
 
-The vocabulary is the words that labelled toxic documents hold far more often than
-others.  Examples are indexed by word, in blocks; the largest weight of a word in a
+Every example and every text is a vector over all its words, hashed; the words that
+labelled toxic documents hold far more often than others have further dimensions of
+their own.  Examples are indexed by dimension, in blocks; the largest weight of a word in a
 block bounds every cosine there from above, so blocks are opened from the highest
 bound down until none can hold a nearer example.  What is skipped cannot matter:
 the neighbours are exact.
@@ -21,12 +22,17 @@ from codespan.llm.labelled import fold, labelled_sample
 from codespan.llm.store import by_row, text_key
 
 PER_CLASS = 4000  # labelled documents of each class that the model holds at most
+HASHED = 2048  # dimensions that all words are hashed to
 VOCABULARY = 512
-LEAST_CONTEXTS = 5  # different words that a word of the vocabulary follows in toxic examples
+MARKED = 4.0  # how much the vocabulary counts beside all words
+LEAST_CONTEXTS = 5  # different words beside a word of the vocabulary in toxic examples
 LEAST_CHI2 = 20.0
 LEAST_LIFT = 12.0
 NEIGHBOURS = 25
 BLOCK = 64  # examples of an index block
+SLAB = 16  # blocks that a batch of texts is held against at once
+QUERIES = 128  # texts of such a batch
+NEAREST = 1e-3  # least distance a vote is divided by
 SEPARATORS = bytes([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 _PATTERN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -34,14 +40,19 @@ _PATTERN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 def vocabulary(sample: DataFrame, size: int = VOCABULARY) -> list[str]:
     """Words that mark the toxic class in the sample, strongest first (at most ``size``).
 
-    A word counts once for every different word it follows, so that copies of one
-    document, which repeat its words in place, are no evidence.
+    A word counts once for every different word it follows, or stands before if those
+    are more, so that copies of one document, which repeat its words in place, are no
+    evidence, and the outer words of a fixed phrase are.
     """
     folded = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     words = sample.select("label", F.array_remove(F.split(folded, _PATTERN, -1), "").alias("w"))
     pairs = words.select("label", F.explode(F.arrays_zip(
-        F.col("w").alias("word"), F.concat(F.array(F.lit("")), F.col("w")).alias("after")
-    )).alias("pair")).select("label", "pair.word", "pair.after").where("word is not null").distinct()
+        F.col("w").alias("word"), F.concat(F.array(F.lit("")), F.col("w")).alias("after"),
+        F.slice(F.concat("w", F.array(F.lit(""))), 2, F.greatest(F.size("w"), F.lit(1))).alias("before"),
+    )).alias("pair")).select("label", "pair.word", "pair.after", "pair.before").where("word is not null")
+    sides = pairs.groupBy("label", "word").agg(
+        F.greatest(F.count_distinct("after"), F.count_distinct("before")).alias("n")
+    )
     n = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
     if len(n) < 2:
         return []
@@ -51,8 +62,9 @@ def vocabulary(sample: DataFrame, size: int = VOCABULARY) -> list[str]:
     chi2 = (n0 + n1) * (a * d - b * c) ** 2 / ((a + b) * (c + d + 1e-9) * n0 * n1)
     lift = (a / n1) / ((b + 0.5) / n0)
     found = (
-        pairs.groupBy("word")
-        .agg(F.sum("label").cast("double").alias("toxic"), F.sum(1 - F.col("label")).cast("double").alias("clean"))
+        sides.groupBy("word")
+        .agg(F.sum(F.col("n") * F.col("label")).cast("double").alias("toxic"),
+             F.sum(F.col("n") * (1 - F.col("label"))).cast("double").alias("clean"))
         .where(a >= LEAST_CONTEXTS).withColumn("chi2", chi2).where(lift >= LEAST_LIFT)
         .where(F.col("chi2") >= LEAST_CHI2)
         .orderBy(F.desc("chi2"), "word").limit(size)
@@ -66,24 +78,29 @@ def _hash_words(words: list[str], table: np.ndarray) -> np.ndarray:
 
 
 def term_counts(texts: pa.Array, known: np.ndarray, order: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """How often each text holds each word of the vocabulary (its hashes sorted, with their order)."""
+    """How often each text holds the words of each hash value, then each word of the vocabulary.
+
+    The vocabulary is given by its hashes, sorted, with their order.
+    """
     raw, at = H.buffers(texts)
     starts, first = H.word_spans(raw, at, table)
-    out = np.zeros((len(at) - 1, len(known)), np.float32)
-    if not len(starts) or not len(known):
-        return out
+    n, width = len(at) - 1, HASHED + len(known)
+    if not len(starts):
+        return np.zeros((n, width), np.float32)
     hashes = H.word_hashes(raw, starts, table)
-    place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-    hit = np.flatnonzero(known[place] == hashes)
-    row = np.searchsorted(first, hit, "right") - 1
-    np.add.at(out, (row, order[place[hit]]), 1)
-    return out
+    row = np.repeat(np.arange(n), np.diff(first)) * width
+    cells = [row + (hashes % np.uint64(HASHED)).astype(np.int64)]
+    if len(known):
+        place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        hit = np.flatnonzero(known[place] == hashes)
+        cells.append(row[hit] + HASHED + order[place[hit]])
+    return np.bincount(np.concatenate(cells), minlength=n * width).astype(np.float32).reshape(n, width)
 
 
 def _document_counts(words):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, order, table = words.value
-        seen, n = np.zeros(len(known), np.int64), 0
+        seen, n = np.zeros(HASHED + len(known), np.int64), 0
         for batch in batches:
             for part in H.slices(batch, "text", 2 << 20):
                 seen += np.count_nonzero(term_counts(part.column("text"), known, order, table), axis=0)
@@ -103,9 +120,11 @@ def _sample_counts(words):
             for part in H.slices(batch, "text", 2 << 20):
                 rows = term_counts(part.column("text"), known, order, table)
                 yield pa.record_batch(
-                    [part.column("doc_id"), pa.array([r.tobytes() for r in rows], pa.binary()),
+                    [part.column("doc_id"),
+                     pa.array([np.flatnonzero(r).astype(np.int32).tobytes() for r in rows], pa.binary()),
+                     pa.array([r[r > 0].tobytes() for r in rows], pa.binary()),
                      part.column("label"), part.column("weight")],
-                    names=["doc_id", "counts", "label", "weight"],
+                    names=["doc_id", "places", "counts", "label", "weight"],
                 )
 
     return run
@@ -118,6 +137,14 @@ def weigh(counts: np.ndarray, rarity: np.ndarray) -> np.ndarray:
     return np.divide(x, size, out=np.zeros_like(x), where=size > 0)
 
 
+def vectors(counts: np.ndarray, rarity: np.ndarray) -> np.ndarray:
+    """Unit vectors over all words and, MARKED times as heavy, over the vocabulary."""
+    x = np.hstack([weigh(counts[:, :HASHED], rarity[:HASHED]),
+                   weigh(counts[:, HASHED:], rarity[HASHED:]) * np.float32(MARKED**0.5)])
+    size = np.linalg.norm(x, axis=1, keepdims=True)
+    return np.divide(x, size, out=x, where=size > 0)
+
+
 class BlockMaxIndex:
     """Examples by word: ``weights[word]`` are its postings, ``most[word]`` their maxima by block."""
 
@@ -149,9 +176,24 @@ class BlockMaxIndex:
             best_at, best = at[top], score[top]
         return self.ids[best_at], best
 
+    def nearest_each(self, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """For every query the k examples of highest cosine and their cosines, nearest first."""
+        k = min(k, self.size)
+        bound = queries @ self.most
+        at, best = np.zeros((len(queries), k), np.int64), np.full((len(queries), k), -1, np.float32)
+        for b in range(0, bound.shape[1], SLAB):
+            open_ = np.flatnonzero(bound[:, b : b + SLAB].max(axis=1) >= best.min(axis=1) - 1e-6)
+            begin, end = b * BLOCK, min((b + SLAB) * BLOCK, self.size)
+            score = np.hstack([best[open_], queries[open_] @ self.weights[:, begin:end]])
+            place = np.hstack([at[open_], np.broadcast_to(np.arange(begin, end), (len(open_), end - begin))])
+            top = np.argpartition(-score, k - 1, axis=1)[:, :k]
+            at[open_], best[open_] = np.take_along_axis(place, top, 1), np.take_along_axis(score, top, 1)
+        top = np.lexsort((at, -best), axis=1)
+        return self.ids[np.take_along_axis(at, top, 1)], np.take_along_axis(best, top, 1)
+
 
 def fit(docs: DataFrame, sample: DataFrame) -> dict:
-    """Vocabulary and examples from the sample, rarity of its words from all documents."""
+    """Vocabulary and examples from the sample, rarity of all words from all documents."""
     table = H.byte_table(SEPARATORS, fold_case=True)
     sample = sample.persist()
     words = vocabulary(sample)
@@ -159,33 +201,32 @@ def fit(docs: DataFrame, sample: DataFrame) -> dict:
     order = np.argsort(hashes)
     sent = docs.sparkSession.sparkContext.broadcast((hashes[order], order, table))
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    seen, total = np.zeros(len(words), np.int64), 0
+    seen, total = np.zeros(HASHED + len(words), np.int64), 0
     for word, n in texts.mapInArrow(_document_counts(sent), "word long, seen long").groupBy("word").agg(
         F.sum("seen")
-    ).collect():  # a row per word of the vocabulary
+    ).collect():  # a row per dimension
         if word < 0:
             total = n
         else:
             seen[word] = n
     rarity = np.log((total + 1) / (seen + 1)).astype(np.float32) + np.float32(0.1)
     rows = sample.mapInArrow(
-        _sample_counts(sent), "doc_id long, counts binary, label int, weight double"
+        _sample_counts(sent), "doc_id long, places binary, counts binary, label int, weight double"
     ).toArrow()
     sample.unpersist()
     label, weight = rows["label"].to_numpy(), rows["weight"].to_numpy()
-    counts = np.zeros((0, len(words)), np.float32)
-    if rows.num_rows and words:
-        counts = np.stack([np.frombuffer(c.as_py(), np.float32) for c in rows["counts"]])
-    else:
-        counts = np.zeros((rows.num_rows, len(words)), np.float32)
-    vectors = weigh(counts, rarity)
-    plain = ~vectors.any(axis=1)
+    own = np.zeros((rows.num_rows, len(rarity)), np.float32)
+    for x, places, counts in zip(own, rows["places"], rows["counts"]):
+        x[np.frombuffer(places.as_py(), np.int32)] = np.frombuffer(counts.as_py(), np.float32)
+    for b in range(0, len(own), 512):
+        own[b : b + 512] = vectors(own[b : b + 512], rarity)
+    plain = ~own.any(axis=1)
     toxic_plain = float((weight * label)[plain].sum())
     return {
         "words": words, "hashes": hashes[order], "order": order, "table": table, "rarity": rarity,
-        "index": BlockMaxIndex(vectors[~plain]), "label": label[~plain], "weight": weight[~plain],
+        "index": BlockMaxIndex(own[~plain]), "label": label[~plain], "weight": weight[~plain],
         "doc_id": rows["doc_id"].to_numpy()[~plain],
-        # Texts without known words are as near to each other as can be: all of them vote.
+        # Texts without any word are as near to each other as can be: all of them vote.
         "plain": toxic_plain / float(weight[plain].sum()) if plain.any() else 0.0,
     }
 
@@ -196,19 +237,22 @@ def _score(model):
         for batch in batches:
             for part in H.slices(batch, "text", 2 << 20):
                 counts = term_counts(part.column("text"), m["hashes"], m["order"], m["table"])
-                vectors = weigh(counts, m["rarity"])
-                score = np.full(len(vectors), m["plain"])
+                score = np.full(len(counts), m["plain"])
                 words: list[list[str]] = [[] for _ in score]
                 near: list[list[int]] = [[] for _ in score]
-                for i in np.flatnonzero(vectors.any(axis=1)):
-                    if not m["index"].size:
-                        break
-                    ids, cosine = m["index"].nearest(vectors[i], NEIGHBOURS)
-                    power = np.maximum(cosine, 1e-6).astype(np.float64) ** 2 * m["weight"][ids]
-                    score[i] = (power * m["label"][ids]).sum() / power.sum()
-                    top = np.argsort(-vectors[i], kind="stable")[:5]
-                    words[i] = [m["words"][w] for w in top if vectors[i][w] > 0]
-                    near[i] = m["doc_id"][ids[:3]].tolist()
+                full = np.flatnonzero(counts.any(axis=1)) if m["index"].size else np.zeros(0, np.int64)
+                for b in range(0, len(full), QUERIES):
+                    own = full[b : b + QUERIES]
+                    query = vectors(counts[own], m["rarity"])
+                    ids, cosine = m["index"].nearest_each(query, NEIGHBOURS)
+                    cosine = np.clip(cosine.astype(np.float64), 1e-6, 1)
+                    # An example that is the text itself outvotes all that are merely like it.
+                    power = cosine**2 / (1 - cosine + NEAREST) * m["weight"][ids]
+                    score[own] = (power * m["label"][ids]).sum(axis=1) / power.sum(axis=1)
+                    top = np.argsort(-query[:, HASHED:], axis=1, kind="stable")[:, :5]
+                    for i, q, t, n in zip(own, query[:, HASHED:], top, m["doc_id"][ids[:, :3]].tolist()):
+                        words[i] = [m["words"][w] for w in t if q[w] > 0]
+                        near[i] = n
                 yield pa.record_batch(
                     [part.column("doc_id"), part.column("text_key"), pa.array(score),
                      pa.array(words, pa.list_(pa.string())), pa.array(near, pa.list_(pa.int64()))],
@@ -224,8 +268,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int
 
     The model learns from ``labels.toxic`` of documents outside fold ``held``; votes
     are weighted so that each example counts for the labelled rows it stands for.
-    Texts without a word of the vocabulary, empty and null ones among them, score
-    the toxic share of labelled texts without one; 0 if there are no labels.  A
+    Every text with words is held against all examples; texts without any, empty and
+    null ones among them, score the toxic share of labelled texts without any, 0 if
+    there are none.  Evidence words are those of the vocabulary.  A
     null doc_id is not held out.  Other columns are ignored; rows that repeat are
     all returned.
     """

@@ -336,6 +336,38 @@ def test_classifiers_on_held_out_rows(docs, rows, labelled, empty):
     assert toxicity.remove_toxic(docs, labels).columns == docs.columns
 
 
+def test_toxicity_knows_copies_and_fixed_phrases(spark):
+    r = random.Random(6)
+    rows, labels = [], []
+    for i in range(300):
+        toxic = i % 6 == 0
+        text = prose(r, 60).replace(".", "")
+        if toxic and i >= 60:  # a phrase that opens every text: only its last word has several neighbours
+            text = "vile brute " + text
+        rows.append((i, text, "en", "s", 0))
+        labels.append((i, 0, int(toxic)))
+    texts = {row[0]: row[1] for row in rows}
+    rows += [(1000 + i, texts[i], "en", "s", 0) for i in range(0, 60, 6)]  # copies without the phrase
+    rows += [(2000 + i, "vile brute " + prose(r, 60), "en", "s", 0) for i in range(10)]
+    rows += [(3000 + i, prose(r, 60), "en", "s", 0) for i in range(40)]
+    docs = spark.createDataFrame(rows, DOCS)
+    out = toxicity.score_toxicity(docs, spark.createDataFrame(labels, LABELS), folds=5, held=9).collect()
+    got = {x.doc_id: x for x in out}
+    assert all(got[1000 + i].predicted == 1 and i in got[1000 + i].evidence_ids for i in range(0, 60, 6))
+    assert all(got[2000 + i].predicted == 1 for i in range(10))
+    assert sum(got[3000 + i].predicted for i in range(40)) <= 2 and all(got[3000 + i].evidence_ids for i in range(40))
+
+
+def test_nearest_of_a_batch_is_exact():
+    import numpy as np
+
+    g = np.random.default_rng(1)
+    x = toxicity.weigh(g.poisson(0.1, (3000, 60)).astype(np.float32), np.ones(60, np.float32))
+    x = x[x.any(axis=1)]
+    _, cosine = toxicity.BlockMaxIndex(x).nearest_each(x[::50], 10)
+    assert np.allclose(cosine, -np.sort(-(x[::50] @ x.T), axis=1)[:, :10], atol=1e-5)
+
+
 def test_block_max_index_is_exact():
     import numpy as np
 
