@@ -1,4 +1,4 @@
-"""The ten operators as queries over the given tables, with SQL where it can say the same."""
+"""The operators as queries over the given tables, with SQL where it can say the same."""
 
 from __future__ import annotations
 
@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from codespan.llm import (
     chat_format,
     decontaminate,
+    divergence,
     exact_dedup,
     jaccard_join,
     line_dedup,
     mixing,
     quality,
+    secrets,
     span_dedup,
     token_count,
     toxicity,
+    whitening,
 )
 from codespan.llm.store import table
 
@@ -104,11 +107,33 @@ def op10_jaccard_vertical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
 
 
+def op11_level_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How every source differs from the others of its language, and by which words."""
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_rank_one_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four leading whitened coordinates of every embedding."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: counts and a digest of the known forms, and all spans."""
+    found = secrets.secret_spans(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_knn, op2_line_spread, op3_sentence_spans, op4_toxicity_knn, op5_pfair_mix,
         op6_winnow, op7_merge_tree, op8_chat_events, op9_token_counts, op10_jaccard_vertical,
+        op11_level_products, op12_rank_one_whitening, op13_entropy_secrets,
     )
 }
 
@@ -193,3 +218,93 @@ reach AS (SELECT doc_id AS node, doc_id AS root FROM d
 least AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
 SELECT doc_id, coalesce(n.n, 0) AS n_shingles, least.root AS component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN least ON least.node = doc_id"""
+
+
+_TERMS = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+ORACLE["op11_level_products"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_FOLD}, '{_TERMS}') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS all_n FROM t GROUP BY lang, term
+         HAVING count(DISTINCT r) >= {divergence.LEAST_DOCS}),
+langs AS (SELECT lang, count(*) AS v, sum(all_n) AS n FROM kept GROUP BY lang),
+held AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+size AS (SELECT lang, source, sum(n) AS n FROM held GROUP BY lang, source),
+groups AS (SELECT lang, source, coalesce(size.n, 0) AS n FROM (SELECT DISTINCT lang, source FROM d)
+           LEFT JOIN size USING (lang, source)),
+rate AS (
+  SELECT g.lang, g.source, k.term, coalesce(h.n, 0) AS c,
+         1 + {divergence.UNIT} * (coalesce(h.n, 0) + 2)::HUGEINT // (g.n + 2 * l.v)::HUGEINT AS p,
+         1 + {divergence.UNIT} * (k.all_n + 2)::HUGEINT // (l.n + 2 * l.v)::HUGEINT AS q
+  FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang)
+  LEFT JOIN held h ON h.lang = g.lang AND h.source = g.source AND h.term = k.term),
+priced AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM rate a JOIN rate b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source),
+pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN priced p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+         FROM rate WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM (SELECT * FROM pair UNION ALL SELECT * FROM term)
+QUALIFY part = 'pair' OR rank <= {divergence.TOP_TERMS}"""
+
+
+def _secret_sql() -> str:
+    quote = lambda p: p.replace("'", "''")
+    kinds = [("assign", secrets.ASSIGN), ("access", secrets.ACCESS), ("hex", secrets.HEX)]
+    for c in secrets.CLASSES:
+        inside = "".join("\\" + x if x in "-+/_=" else x for x in c.alphabet)
+        kinds.append((c.kind, f"[{inside}]{{{c.window},}}"))
+    pieces = " UNION ALL ".join(
+        f"SELECT r, '{kind}' AS kind, {place} AS place, unnest(regexp_extract_all(t, '{quote(p)}')) AS found, "
+        f"unnest(string_split_regex(t, '{quote(p)}')) AS gap, "
+        f"generate_subscripts(string_split_regex(t, '{quote(p)}'), 1) AS i FROM d"
+        for place, (kind, p) in enumerate(kinds)
+    )
+    allowed = " OR ".join(
+        [f"NOT regexp_matches(found, '{secrets.MIXED}')"] + [f"regexp_matches(found, '{p}')" for p in secrets.ALLOW])
+    sizes = ", ".join(f"('{c.kind}', {c.window}, {c.bits})" for c in secrets.CLASSES)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+piece AS ({pieces}),
+placed AS (
+  SELECT *, sum(coalesce(length(found), 0) + length(gap)) OVER (PARTITION BY r, kind ORDER BY i) AS until
+  FROM piece),
+span AS (SELECT r, kind, place, found, until - length(found) AS start, until FROM placed WHERE found IS NOT NULL),
+base AS (
+  SELECT r, kind, place, start, until FROM span
+  WHERE place < 3 AND (kind <> 'assign' OR length(regexp_extract(found, '{quote(secrets.ASSIGN)}', 2)) >= {secrets.LEAST_ASSIGN})),
+class(kind, w, bits) AS (VALUES {sizes}),
+run AS (SELECT *, row_number() OVER () AS number FROM span JOIN class USING (kind) WHERE NOT ({allowed})),
+win AS (SELECT *, unnest(range(0, length(found) - w + 1)) AS o FROM run),
+hit AS (
+  SELECT number, r, kind, place, start + o AS start, start + o + w AS until FROM win
+  WHERE list_sum(list_transform(list_distinct(string_split(substring(found, CAST(o AS INTEGER) + 1, w), '')),
+          lambda c: CAST(round({secrets.SCALE} * (w - length(replace(substring(found, CAST(o AS INTEGER) + 1, w), c, '')))
+                     * log2(w - length(replace(substring(found, CAST(o AS INTEGER) + 1, w), c, '')))) AS BIGINT)))
+        <= floor({secrets.SCALE} * w * (log2(w) - bits))),
+part AS (
+  SELECT *, sum(opens) OVER (PARTITION BY number ORDER BY start) AS island FROM (
+    SELECT *, CASE WHEN start <= max(until) OVER (PARTITION BY number ORDER BY start
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS opens FROM hit)),
+random AS (SELECT r, kind, place, min(start) AS start, max(until) AS until FROM part GROUP BY number, island, r, kind, place),
+known AS (
+  SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(concat_ws(':', kind, start::BIGINT, until::BIGINT), ',' ORDER BY start, place) AS listed
+  FROM base GROUP BY r),
+every AS (
+  SELECT r, string_agg(concat_ws(':', kind, start::BIGINT, until::BIGINT), ',' ORDER BY start, place) AS spans
+  FROM (SELECT * FROM base UNION ALL SELECT * FROM random) GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(listed, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN known USING (r) LEFT JOIN every USING (r)"""
+
+
+ORACLE["op13_entropy_secrets"] = _secret_sql()
