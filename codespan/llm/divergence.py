@@ -8,12 +8,13 @@ groups depends on the levels alone, each cell is priced once for all its terms.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codespan.llm.hashing import buffers, slices
@@ -27,6 +28,9 @@ GROUPS = 64  # groups in a block of columns: a product holds the groups of two b
 COLUMNS = 1024  # indicator columns in a product
 ROWS = 8192  # terms in a product; far below 2**24, up to which float32 counts exactly
 
+SLICE = 32 << 20  # bytes of text counted at a time
+CELL = np.dtype([("source", "<i8"), ("n", "<i4")])  # a count of one such slice, packed
+
 # Bytes of the letters: A-Z as a-z, a-z, and all of a character outside ASCII.
 _FOLD = np.zeros(256, np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
@@ -60,31 +64,99 @@ def _codes(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
 
 
+def _cells(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The cells that a column of packed cells holds, and how many each row has."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, CELL, (at[-1] - at[0]) // CELL.itemsize, at[0]), np.diff(at) // CELL.itemsize
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """lang, source, term, n, docs: summed over some megabytes of texts at a time."""
+    """lang, term, docs, cells: of some megabytes of texts, the documents with a term and its counts by source."""
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE):
             words, row = terms(part.column("text"))
             if not len(words):
                 continue
             word, vocabulary = _codes(words)
             lang, langs = _codes(part.column("lang"))
-            source, sources = _codes(part.column("source"))
-            group = lang * len(sources) + source
-            # Occurrences per (term, row), then rows and occurrences per (term, group).
+            keys, source = np.unique(part.column("source").to_numpy(), return_inverse=True)
+            # Occurrences per (term, row); then rows and occurrences per (term, lang, source).
             pairs, times = np.unique(word * part.num_rows + row, return_counts=True)
-            cell = pairs // part.num_rows * (len(langs) * len(sources)) + group[pairs % part.num_rows]
+            word, row = np.divmod(pairs, part.num_rows)
+            cell = (word * len(langs) + lang[row]) * len(keys) + source[row]
             order = np.argsort(cell, kind="stable")
             cell, times = cell[order], times[order]
             first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
-            here, own = np.divmod(cell[first], len(langs) * len(sources))
+            docs = np.diff(np.append(first, len(cell)))
+            cell, times = cell[first], np.add.reduceat(times, first)
+            pair, own = np.divmod(cell, len(keys))
+            head = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+            packed = np.empty(len(cell), CELL)
+            packed["source"], packed["n"] = keys[own], times
+            offsets = (np.append(head, len(cell)) * CELL.itemsize).astype(np.int32)
+            here, tongue = np.divmod(pair[head], len(langs))
             yield pa.RecordBatch.from_arrays([
-                langs.take(pa.array(own // len(sources))),
-                sources.take(pa.array(own % len(sources))),
-                vocabulary.take(pa.array(here)).cast(pa.string()),
-                pa.array(np.add.reduceat(times, first), pa.int64()),
-                pa.array(np.diff(np.append(first, len(cell))), pa.int64()),
-            ], names=["lang", "source", "term", "n", "docs"])
+                langs.take(pa.array(tongue)), vocabulary.take(pa.array(here)).cast(pa.string()),
+                pa.array(np.add.reduceat(docs, head), pa.int64()),
+                pa.Array.from_buffers(pa.binary(), len(head), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(packed.tobytes())]),
+            ], names=["lang", "term", "docs", "cells"])
+
+
+def _kept(least_docs: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """lang, term, all_n, sources, counts of the terms in enough documents, from rows sorted by (lang, term).
+
+    Rows of one term are added up batch by batch; what the last term of a batch has
+    so far goes with the next one, so a task holds a batch and one term's sources.
+    """
+
+    def totals(lang: pa.Array, term: pa.Array, docs: np.ndarray, source: np.ndarray, n: np.ndarray, sizes: np.ndarray):
+        """The rows of each term as one: its first row, documents, sources, counts, and number of sources."""
+        same = pc.and_(pc.equal(lang[1:], lang[:-1]), pc.equal(term[1:], term[:-1])).to_numpy(zero_copy_only=False)
+        first = np.flatnonzero(np.concatenate([[True], ~same]))
+        group = np.repeat(np.cumsum(np.concatenate([[True], ~same])) - 1, sizes)
+        keys, code = np.unique(source, return_inverse=True)
+        cell = group * len(keys) + code
+        order = np.argsort(cell, kind="stable")
+        cell, n = cell[order], n[order]
+        head = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+        group, code = np.divmod(cell[head], len(keys))
+        return first, np.add.reduceat(docs, first), keys[code], np.add.reduceat(n, head), np.bincount(group, minlength=len(first))
+
+    def shown(lang: pa.Array, term: pa.Array, docs: np.ndarray, source: np.ndarray, n: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+        enough = docs >= least_docs
+        inside = np.repeat(enough, sizes)
+        source, n = source[inside], n[inside]
+        offsets = np.concatenate([[0], np.cumsum(sizes[enough])]).astype(np.int32)
+        chosen = pa.array(np.flatnonzero(enough))
+        total = np.add.reduceat(n, offsets[:-1]) if len(n) else n
+        return pa.RecordBatch.from_arrays([
+            lang.take(chosen), term.take(chosen), pa.array(total, pa.int64()),
+            pa.ListArray.from_arrays(offsets, pa.array(source, pa.int64())),
+            pa.ListArray.from_arrays(offsets, pa.array(n, pa.int64())),
+        ], names=["lang", "term", "all_n", "sources", "counts"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cells, sizes = _cells(batch.column("cells"))
+            now = [batch.column("lang"), batch.column("term"), batch.column("docs").to_numpy(),
+                   cells["source"], cells["n"].astype(np.int64), sizes]
+            if held:
+                now = [pa.concat_arrays([a, b]) if isinstance(b, pa.Array) else np.concatenate([a, b])
+                       for a, b in zip(held, now, strict=True)]
+            first, docs, source, n, sizes = totals(*now)
+            rows = pa.array(first)
+            whole = [now[0].take(rows), now[1].take(rows), docs, source, n, sizes]
+            last = len(source) - sizes[-1]
+            held = [whole[0][-1:], whole[1][-1:], docs[-1:], source[last:], n[last:], sizes[-1:]]
+            yield shown(whole[0][:-1], whole[1][:-1], docs[:-1], source[:last], n[:last], sizes[:-1])
+        if held:
+            yield shown(*held)
+
+    return run
 
 
 def _prices(counts: np.ndarray, size: int, kept: int) -> np.ndarray:
@@ -166,22 +238,22 @@ def source_divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int =
     Null text, lang and source count as empty; every occurring group is listed
     (without kept terms its pairs are 0), repeated rows count each, no rows give
     no rows.  Texts of any length are counted some megabytes at a time, a longer
-    one alone.  Other columns are ignored whatever their names.
+    one alone.  Only counts leave the task that read a text, one row per term.  Other columns are ignored whatever their names.
     """
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    found = rows.mapInArrow(_counted, "lang string, source string, term string, n long, docs long")
-    cells = keep(found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
-    kept = keep(
-        cells.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("all_n"))
-        .where(F.col("docs") >= least_docs).drop("docs")
+    names = keep(rows.select("lang", "source").distinct())
+    key = source_key(names)
+    parts = rows.withColumn("source", key).mapInArrow(_counted, "lang string, term string, docs long, cells binary")
+    vectors = keep(
+        parts.repartition("lang", "term").sortWithinPartitions("lang", "term")
+        .mapInArrow(_kept(least_docs), "lang string, term string, all_n long, sources array<long>, counts array<long>")
     )
-    langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("all_n").alias("lang_size"))
-    held = keep(cells.drop("docs").join(kept, ["lang", "term"]))
-    sizes = held.groupBy("lang", "source").agg(F.sum("n").alias("size"))
+    langs = vectors.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("all_n").alias("lang_size"))
+    held = vectors.select("lang", "term", "all_n", F.inline(F.arrays_zip(F.col("sources").alias("key"), F.col("counts").alias("n"))))
+    sizes = held.groupBy("lang", "key").agg(F.sum("n").alias("size"))
     groups = keep(number_rows(
-        rows.select("lang", "source").distinct()
-        .join(sizes, ["lang", "source"], "left").join(langs, "lang", "left")
-        .select("lang", "source", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("size", "kept", "lang_size")]),
+        names.withColumn("key", key).join(sizes, ["lang", "key"], "left").join(langs, "lang", "left").select(
+            "lang", "source", "key", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("size", "kept", "lang_size")]),
         ["source"], "number", group=["lang"], start=0,
     ))
     pairs = _pair_values(held, groups)
@@ -192,20 +264,32 @@ def source_divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int =
         .join(other, ["lang", "b"])
         .select("lang", "source", F.lit("pair").alias("part"), "item", "value")
     )
-
-    rate = lambda n, size: (
-        F.expr(f"1 + {UNIT} * cast({n} + 2 as decimal(28,0)) div cast({size} + 2 * kept as decimal(28,0))")
-    )
-    rated = held.join(groups, ["lang", "source"]).select(
-        "lang", "source", F.col("term").alias("item"), rate("n", "size").alias("p"), rate("all_n", "lang_size").alias("q"),
+    rated = held.join(groups, ["lang", "key"]).select(
+        "lang", "source", F.col("term").alias("item"), _rate("n", "size").alias("p"), _rate("all_n", "lang_size").alias("q"),
     ).where("p > q")
-    gap = F.col("p") - F.col("q")
     term = rated.select("lang", "source", F.lit("term").alias("part"), "item", F.expr("(p - q) * (p - q) div (p + q)").alias("value"))
     order = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
     ranked = term.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return pair.withColumn("rank", F.row_number().over(order)).union(ranked)
 
 
+def source_key(names: DataFrame) -> Column:
+    """64 bits of ``source`` that are different for all sources of ``names``."""
+    seed = 0
+    while True:
+        key = F.xxhash64(F.lit(seed), "source")
+        if names.select("source").distinct().groupBy(key).count().where("count > 1").isEmpty():
+            return key
+        seed += 1
+
+
+def _rate(n: str, size: str) -> Column:
+    """1 + floor(10^9 (n + 2) / (size + 2 kept)), in wider numbers only where a long would overflow."""
+    plain = f"{UNIT} * ({n} + 2) div ({size} + 2 * kept)"
+    wide = f"{UNIT} * cast({n} + 2 as decimal(28,0)) div cast({size} + 2 * kept as decimal(28,0))"
+    return F.expr(f"1 + case when {n} < 9000000000 then {plain} else {wide} end")
+
+
 def _pair_values(held: DataFrame, groups: DataFrame) -> DataFrame:
     """lang, a, b, value: the divergence of all groups a, b (numbers, each pair once) of a language.
 
@@ -220,14 +304,14 @@ def _pair_values(held: DataFrame, groups: DataFrame) -> DataFrame:
     spread = F.explode(F.transform(F.sequence(F.lit(0), F.col("last")), lambda o: F.struct(
         F.least(o, F.col("block")).alias("low"), F.greatest(o, F.col("block")).alias("high"),
         F.when(F.col("block") <= o, F.col("slot")).otherwise(F.col("slot") + GROUPS).alias("slot"))))
-    dealt = placed.join(blocks, "lang").select("lang", "source", "number", "size", "kept", spread.alias("s")).select(
-        "lang", "source", "number", "size", "kept", "s.low", "s.high", "s.slot")
+    dealt = placed.join(blocks, "lang").select("lang", "key", "size", "kept", spread.alias("s")).select(
+        "lang", "key", "size", "kept", "s.low", "s.high", "s.slot")
     shape = dealt.groupBy("lang", "low", "high").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("slot", "size"))), lambda s: s["size"]).alias("sizes"),
         F.first("kept").alias("kept"),
     )
     vectors = (
-        held.join(dealt.select("lang", "source", "low", "high", "slot"), ["lang", "source"])
+        held.join(dealt.select("lang", "key", "low", "high", "slot"), ["lang", "key"])
         .groupBy("lang", "term", "low", "high")
         .agg(F.collect_list(F.struct("slot", "n")).alias("cells"))
         .select("lang", "low", "high", F.col("cells.slot").alias("slots"), F.col("cells.n").alias("counts"))
