@@ -623,27 +623,82 @@ def column_diffs(d):
     return match.compare_projects({"Item": d["v_items1"]}, {"Item": d["v_items2"]}, ["Item"], rules=_ITEM_RULE)
 
 
+# Natural keys that many records share: all of a nation and segment look alike.
+VIEWS["v_alike1"] = """
+SELECT concat('a', CAST(c_custkey AS STRING)) AS Id, c_nationkey AS TypeId, c_mktsegment AS Name,
+       concat('Nodes/', c_mktsegment) AS HierarchicalName, c_name AS Description FROM {customer}"""
+VIEWS["v_alike2"] = """
+SELECT concat('b', CAST(c_custkey AS STRING)) AS Id, c_nationkey AS TypeId, c_mktsegment AS Name,
+       concat('Nodes/', c_mktsegment) AS HierarchicalName,
+       CASE WHEN c_nationkey % 2 = 1 AND c_custkey % 3 = 1 THEN concat(c_name, ' edited') ELSE c_name END AS Description
+FROM {customer} WHERE c_nationkey % 2 = 1 OR c_custkey % 13 <> 0"""
+
+
+@query(
+    "refined_matches",
+    """SELECT a.Id, count(b.Id) AS Partners FROM {v_items1} a
+       LEFT JOIN {v_items2} b ON a.TypeId = b.TypeId AND a.Description = b.Description GROUP BY a.Id""",
+)
+def refined_matches(d):
+    """Two rules for one table: records match when they agree under both."""
+    rules = [("Item", ["TypeId"], []), ("Item", ["Description"], [])]
+    c1, c2 = match.match_entities({"Item": d["v_items1"]}, {"Item": d["v_items2"]}, rules)
+    sizes = c2.groupBy("Class").agg(F.count(F.lit(1)).alias("n"))
+    return c1.join(sizes, "Class", "left").select("Id", F.coalesce("n", F.lit(0)).cast("long").alias("Partners"))
+
+
+@query(
+    "shared_key_diffs",
+    """SELECT Id AS Key1, c_nationkey AS TypeId, 'only in 1' AS Status, NULL AS "Column", CAST(1 AS BIGINT) AS n
+       FROM (SELECT concat('a', CAST(c_custkey AS STRING)) AS Id, c_nationkey FROM {customer}
+             WHERE c_nationkey % 2 = 0 AND c_custkey % 13 = 0) x
+       UNION ALL
+       SELECT NULL, TypeId, 'differs', 'Description', count(*) FROM {v_alike2}
+       WHERE Description LIKE '% edited' GROUP BY TypeId, Name""",
+)
+def shared_key_diffs(d):
+    """Projects whose records share natural keys: equal ones pair up, the rest by rank."""
+    found = match.compare_projects({"Item": d["v_alike1"]}, {"Item": d["v_alike2"]}, ["Item"], rules=_ITEM_RULE)
+    own = d["v_alike1"].select(F.col("Id").alias("Key1"), "TypeId", "Name")
+    key = F.when(F.col("Status") != "differs", F.col("Key1")).alias("Shown")
+    return found.join(own, "Key1", "left").groupBy(key, "TypeId", "Name", "Status", "Column").agg(
+        F.count(F.lit(1)).alias("n")
+    ).select(F.col("Shown").alias("Key1"), "TypeId", "Status", "Column", "n")
+
+
 @query(
     "reference_matches",
-    """SELECT Class AS n1, count(*) AS records FROM (
-         SELECT concat(a.Name, '|', CAST(o_orderstatus AS STRING)) AS Class FROM {orders} o
-         JOIN {v_items1} a ON a.Id = concat('a', CAST(o_custkey AS STRING))) x GROUP BY Class""",
+    """WITH refs AS (
+         SELECT o_orderkey, CAST(o_orderstatus AS STRING) AS status, o_custkey,
+                concat('a', CAST(o_custkey AS STRING)) AS one, concat(CASE WHEN o_custkey % 3 = 0 THEN 'a' ELSE 'b' END, CAST(o_custkey AS STRING)) AS two
+         FROM {orders}),
+       c1 AS (SELECT o_orderkey, coalesce(concat(CAST(TypeId AS STRING), '/', Name, '/', HierarchicalName), one) || '|' || status AS Class
+              FROM refs LEFT JOIN {v_items1} i ON i.Id = one),
+       c2 AS (SELECT o_orderkey, coalesce(concat(CAST(TypeId AS STRING), '/', Name, '/', HierarchicalName), two) || '|' || status AS Class
+              FROM refs LEFT JOIN {v_items2} i ON i.Id = two)
+       SELECT CAST(c1.o_orderkey AS STRING) AS Id, coalesce(n, 0) AS Partners FROM c1
+       LEFT JOIN (SELECT Class, count(*) AS n FROM c2 GROUP BY Class) x ON x.Class = c1.Class""",
 )
 def reference_matches(d):
-    """Records matched through what they refer to: class sizes, named by their parts."""
-    refs = d["orders"].select(
-        F.col("o_orderkey").cast("string").alias("Id"), F.concat(F.lit("a"), F.col("o_custkey").cast("string")).alias("Node_Item_Id"),
-        F.col("o_orderstatus").alias("Source_Item_Id"),
-    )
+    """Records matched through what they refer to: how many partners each has in the other project."""
+    items = {1: "v_items1", 2: "v_items2"}
+    prefix = {1: F.lit("a"), 2: F.when(F.col("o_custkey") % 3 == 0, "a").otherwise("b")}
     rules = _ITEM_RULE + [("NodeReference", [], ["Node_Item_Id", "Source_Item_Id"])]
-    classes, _ = match.match_entities(
-        {"Item": d["v_items1"], "NodeReference": refs}, {"Item": d["v_items2"].limit(0), "NodeReference": refs.limit(0)}, rules
-    )
-    named = d["v_items1"].select(F.col("Id").alias("i"), "Name")
-    rows = refs.join(classes.withColumnRenamed("Id", "r"), F.col("Id") == F.col("r")).join(named, F.col("Node_Item_Id") == F.col("i"))
-    return rows.groupBy("Class").agg(
-        F.min(F.concat("Name", F.lit("|"), "Source_Item_Id")).alias("n1"), F.count(F.lit(1)).alias("records")
-    ).drop("Class")
+    projects = [
+        {
+            "Item": d[items[n]],
+            "NodeReference": d["orders"].select(
+                F.col("o_orderkey").cast("string").alias("Id"),
+                F.concat(prefix[n], F.col("o_custkey").cast("string")).alias("Node_Item_Id"),
+                F.col("o_orderstatus").alias("Source_Item_Id"),
+            ),
+        }
+        for n in (1, 2)
+    ]
+    c1, c2 = match.match_entities(*projects, rules)
+    sizes = c2.join(projects[1]["NodeReference"].select("Id"), "Id").groupBy("Class").agg(F.count(F.lit(1)).alias("n"))
+    mine = projects[0]["NodeReference"].select("Id").join(c1, "Id")
+    return mine.join(sizes, "Class", "left").select("Id", F.coalesce("n", F.lit(0)).cast("long").alias("Partners"))
 
 
 @query(

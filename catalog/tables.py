@@ -293,7 +293,7 @@ def value_ordinals(d):
        FROM {v_sheet}""",
 )
 def forward_fill(d):
-    return N.forward_fill(d["v_sheet"], "Pos", ["Source", "Node"], {"Source": "first"}, bucket_rows=200_000_000)
+    return N.forward_fill(d["v_sheet"], "Pos", ["Source", "Node"], {"Source": "first"})
 
 
 @query(

@@ -141,14 +141,60 @@ def phrase_frequency(d):
     return TG.phrase_frequency(d["v_source"], threshold=5)
 
 
+# Every run of one to four words without stop words, those frequent, and of these the longest at a place.
+_RUNS = rf"""
+word AS (
+  SELECT Id AS Source, start0, end0, run, k, words[k] AS w FROM (
+    SELECT *, unnest(range(1, len(words) + 1)) AS k FROM (
+      SELECT Id, start0, end0, run, list_filter(string_split(piece, ' '), lambda w: w <> '') AS words FROM (
+        SELECT Id, start0, end0, unnest(regexp_extract_all(Sentence, '[\p{{L}}\p{{M}} ]+')) AS piece,
+               generate_subscripts(regexp_extract_all(Sentence, '[\p{{L}}\p{{M}} ]+'), 1) AS run
+        FROM ({_SENTENCES}) s) a) b) c
+  WHERE w NOT IN ({_STOP})),
+grown AS (
+  SELECT a.Source, a.start0, a.end0, a.run, a.k, 1 AS size, a.w AS Phrase FROM word a
+  UNION ALL
+  SELECT a.Source, a.start0, a.end0, a.run, a.k, size, Phrase FROM (
+    SELECT *, unnest([2, 3, 4]) AS size, unnest([w || ' ' || w2, w || ' ' || w2 || ' ' || w3, w || ' ' || w2 || ' ' || w3 || ' ' || w4]) AS Phrase
+    FROM (SELECT *, CASE WHEN lead(k) OVER o = k + 1 THEN lead(w) OVER o END AS w2,
+                 CASE WHEN lead(k, 2) OVER o = k + 2 THEN lead(w, 2) OVER o END AS w3,
+                 CASE WHEN lead(k, 3) OVER o = k + 3 THEN lead(w, 3) OVER o END AS w4
+          FROM word WINDOW o AS (PARTITION BY Source, start0, end0, run ORDER BY k)) x) a WHERE Phrase IS NOT NULL),
+counted AS (SELECT Phrase, count(*) AS n FROM grown GROUP BY Phrase HAVING count(*) >= 12),
+kept AS (SELECT * FROM grown WHERE Phrase IN (SELECT Phrase FROM counted)),
+longest AS (
+  SELECT * FROM kept a WHERE NOT EXISTS (
+    SELECT 1 FROM kept b WHERE b.Source = a.Source AND b.start0 = a.start0 AND b.end0 = a.end0 AND b.run = a.run
+      AND b.size = a.size + 1 AND b.k IN (a.k, a.k - 1)))"""
+
+
+@query("phrase_runs", f"WITH {_RUNS} SELECT Phrase, n FROM counted")
+def phrase_runs(d):
+    return TG.frequent_runs(d["v_source"], 12)[1]
+
+
+@query(
+    "phrase_run_tags",
+    f"""WITH {_RUNS} SELECT Source, Phrase, concat(CAST(start0 AS STRING), ':', CAST(end0 - 1 AS STRING)) AS Fragment,
+          CAST(count(*) AS BIGINT) AS n FROM longest GROUP BY Source, Phrase, start0, end0""",
+)
+def phrase_run_tags(d):
+    """Phrases of any length as nodes, the longest at each place as taggings."""
+    p = d.project()
+    out = TG.tag_phrases(p, "u1", NOW, threshold=12, extractor=None)
+    nodes = out["Node"].join(d["v_node"].select("Id"), "Id", "left_anti").select(F.col("Id").alias("Node"), F.col("Name").alias("Phrase"))
+    return out["Tagging"].join(nodes, "Node").groupBy("Source", "Phrase", "Fragment").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "phrase_tags",
     f"""WITH p AS ({_PAIRS}), f AS (SELECT Phrase FROM p GROUP BY Phrase HAVING count(*) >= 20)
         SELECT Source, Phrase, concat(CAST(start0 AS STRING), ':', CAST(end0 - 1 AS STRING)) AS Fragment
-        FROM p WHERE Phrase IN (SELECT Phrase FROM f)""",
+        FROM p WHERE Phrase IN (SELECT Phrase FROM f)
+        UNION ALL SELECT Source, Name, Fragment FROM {{v_tagging}} t JOIN {{v_node}} n ON n.Id = t.Node""",
 )
 def phrase_tags(d):
-    p = d.project()
-    out = TG.tag_phrases(p | {"Tagging": p["Tagging"].limit(0)}, "u1", NOW, threshold=20)
+    """All taggings under the names of their nodes, those of phrases among them."""
+    out = TG.tag_phrases(d.project(), "u1", NOW, threshold=20)
     nodes = out["Node"].select(F.col("Id").alias("Node"), F.col("Name").alias("Phrase"))
     return out["Tagging"].join(nodes, "Node").select("Source", "Phrase", "Fragment")

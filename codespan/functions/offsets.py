@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from codespan.functions.bind import let
+from codespan.functions.text import running_totals
+
 # Fixed value: white space that one platform leaves out of its counts.
 NOT_COUNTED = r"(?U)[\s&&[^\u00a0]]"
 
@@ -49,49 +52,56 @@ def char_to_nonspace_span(plain: Column, start0: Column, length: Column) -> Colu
     )
 
 
-def counted_positions(plain: Column) -> Column:
-    """Positions (zero-based) of the counted characters of a text, ascending.
-
-    Built once per source and shared by all spans of it; see
-    ``operators.spans.nonspace_to_char`` for the set-based use.
-    """
-    def counted(c: Column) -> Column:
-        printable = (c > " ") & (c < "\u007f")
-        return printable | ~c.rlike(NOT_COUNTED)
+# Where a text holds what one of two ways of counting leaves out, as ascending
+# zero-based positions.  They come from the gaps between the matches, so that
+# memory goes with what is found and not with the characters of the text.
 
-    marked = F.transform(F.split(plain, ""), lambda c, i: F.when(counted(c), i.cast("long")))
-    return F.filter(marked, lambda p: p.isNotNull())
 
+def _starts(text: Column, pattern: str, width: int) -> Column:
+    """(start, gap before it) of every match of a pattern ``width`` characters wide."""
+    def placed(gaps: Column) -> Column:
+        sizes = F.transform(gaps, lambda g: (F.length(g) + width).cast("long"))
+        found = F.zip_with(gaps, running_totals(sizes), lambda g, before: F.struct(
+            (before + F.length(g)).alias("at"), g.alias("gap")))
+        return F.slice(found, 1, F.size(gaps) - 1)
 
-# What to count when offsets move, as (count in a stretch of text, belongs to
-# the edge).  A stretch comes with the one character before it, so that a pair
-# of characters is seen whole; ``at_start`` says there is no such character.
+    return let(F.split(text, pattern, -1), placed)
 
 
-def crlf_pairs(stretch: Column, at_start: Column) -> Column:
-    """Two-character line ends whose second character lies in the stretch."""
-    return _occurrences(stretch, "\r\n")
+def crlf_ends(text: Column) -> Column:
+    """The line feeds of two-character line ends."""
+    return F.transform(_starts(text, "\r\n", 2), lambda m: m["at"] + 1)
 
 
-def bare_newlines(stretch: Column, at_start: Column) -> Column:
+def bare_newlines(text: Column) -> Column:
     """Line feeds after another character that is no carriage return."""
-    leading = F.when(F.substring(stretch, 1, 1) == "\n", 1).otherwise(0)
-    return _occurrences(stretch, "\n") - _occurrences(stretch, "\r\n") - leading
+    return F.transform(
+        F.filter(_starts(text, "\n", 1), lambda m: (m["at"] > 0) & ~m["gap"].endswith("\r")), lambda m: m["at"]
+    )
 
 
-def uncounted(stretch: Column, at_start: Column) -> Column:
+def uncounted(text: Column) -> Column:
     """White space that is left out of counts."""
-    own = F.when(at_start, stretch).otherwise(F.substring(stretch, 2, 2**31 - 1))
-    return _uncounted(own)
+    return F.transform(_starts(text, NOT_COUNTED, 1), lambda m: m["at"])
 
 
-def locate_counted(positions: Column, text_length: Column, k: Column) -> Column:
-    """Where the k-th counted character sits; past the last one, extrapolate.
+def sweep(places: Column, asked: Column, through: bool = False) -> Column:
+    """Array of (k, n, at): how many ``places`` lie before each ``asked`` offset, and whether one lies on it.
 
-    Beyond the last counted character there is nothing more to skip over except
-    the text's own trailing white space.
+    With ``through`` those on the offset count as well.  Both arrays ascend;
+    places may repeat, offsets may not.  They are merged into one, in which the
+    i-th element, being the j-th offset, has i - j places before it.
     """
-    n = F.size(positions)
-    return F.when(k < n, F.try_element_at(positions, (k + 1).cast("int"))).otherwise(
-        k - n + text_length
-    )
+    mine, theirs = (1, 0) if through else (0, 1)
+    merged = F.sort_array(F.concat(
+        F.transform(asked, lambda k: k * 2 + mine), F.transform(places, lambda p: p * 2 + theirs)
+    ))
+
+    def counted(line: Column) -> Column:
+        other = lambda u, i: F.coalesce(F.get(line, i + (-1 if through else 1)) == u + (theirs - mine), F.lit(False))
+        ranked = F.transform(line, lambda u, i: F.when(u % 2 == mine, F.struct(
+            F.shiftright(u, 1).alias("k"), i.alias("i"), other(u, i).alias("at"))))
+        return F.transform(F.filter(ranked, lambda r: r.isNotNull()), lambda r, j: F.struct(
+            r["k"].alias("k"), (r["i"] - j).cast("long").alias("n"), r["at"].alias("at")))
+
+    return let(merged, counted)

@@ -79,48 +79,41 @@ def text_length(text: Column, platform: str) -> Column:
     return F.when(text.isNotNull(), F.lit(0))
 
 
+BLOCK = 128
+
+
 def running_totals(lengths: Column) -> Column:
     """Array of sums before each element: ``[0, l0, l0+l1, ...]`` (same size).
 
-    Spark has no prefix sum over an array and growing one array element by
-    element copies it every time.  Summing inside blocks of about sqrt(n) and
-    then over the blocks keeps the copying near n^1.5, all inside one row.
+    Spark has no prefix sum over an array, and growing one array element by
+    element copies it every time.  So blocks are summed, then blocks of their
+    sums, then blocks of those; copying stays near 64 times the elements up to
+    some millions of them, all inside one row.
     """
-    return let(lengths, _running_totals)
+    return let(lengths, lambda x: _totals(x, 3))
 
 
-def _running_totals(lengths: Column) -> Column:
+def _totals(lengths: Column, levels: int) -> Column:
     zero = F.lit(0).cast("long")
-    n = F.size(lengths)
-    block = F.greatest(F.ceil(F.sqrt(n.cast("double"))).cast("int"), F.lit(1))
-    n_blocks = F.ceil(n / block).cast("int")
-    starts = F.when(n > 0, F.sequence(F.lit(0), n_blocks - 1)).otherwise(
-        F.array().cast("array<int>")
+    none = F.array().cast("array<bigint>")
+    # Sums up to each element of a block, the block's whole sum last.
+    summed = lambda block: F.aggregate(
+        block, F.array(zero), lambda acc, x: F.array_append(acc, F.element_at(acc, -1) + x)
     )
-    # Sums inside each block, the block's whole sum last.
-    inner = F.transform(
-        starts,
-        lambda b: F.aggregate(
-            F.slice(lengths, b * block + 1, block),
-            F.array(zero),
-            lambda acc, x: F.array_append(acc, F.element_at(acc, -1) + x),
-        ),
+    if levels == 1:
+        return F.slice(summed(lengths), 1, F.size(lengths))
+    starts = F.when(F.size(lengths) > 0, F.sequence(F.lit(1), F.size(lengths), F.lit(BLOCK))).otherwise(
+        F.array().cast("array<int>")
     )
+    inner = F.transform(starts, lambda at: summed(F.slice(lengths, at, BLOCK)))
 
     def shifted(parts: Column) -> Column:
-        before = F.aggregate(
-            parts,
-            F.array(zero),
-            lambda acc, part: F.array_append(acc, F.element_at(acc, -1) + F.element_at(part, -1)),
-        )
-        return F.transform(
-            F.arrays_zip(parts.alias("part"), F.slice(before, 1, n_blocks).alias("base")),
-            lambda z: F.transform(
-                F.slice(z["part"], 1, F.size(z["part"]) - 1), lambda x: x + z["base"]
-            ),
-        )
+        before = let(F.transform(parts, lambda p: F.element_at(p, -1)), lambda sums: _totals(sums, levels - 1))
+        return F.flatten(F.zip_with(
+            parts, before, lambda p, base: F.transform(F.slice(p, 1, F.size(p) - 1), lambda x: x + base)
+        ))
 
-    return F.when(n > 0, F.flatten(let(inner, shifted))).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(lengths) > 0, let(inner, shifted)).otherwise(none)
 
 
 def paragraphs(text: Column) -> Column:

@@ -3,8 +3,9 @@
 Two records match when their natural columns agree, key-valued columns being
 read through what they refer to.  That makes matching an equivalence: each
 record gets a *class*, a digest of its natural values, and records match when
-their classes are equal.  A class shared by very many records on both sides
-costs one row per record, never one per pair.
+their classes are equal.  Every further rule for the same records refines the
+partition.  A class shared by very many records on both sides costs one row per
+record, never one per pair: inside it, records are paired by rank.
 """
 
 from __future__ import annotations
@@ -14,7 +15,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from codespan.operators.numbering import number_rows
 from codespan.schemas import LEGACY_KEYS
+from codespan.session import cut
 
 Project = dict[str, DataFrame]
 
@@ -59,22 +62,29 @@ def record_classes(df: DataFrame, columns: list[str], keys: list[str], classes:
 
 
 def refine(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Classes under both of two rules for the same records."""
+    """Classes under both of two rules: a record that only one knows keeps its class there."""
     other = b.select(F.col("Id").alias("_i"), F.col("Class").alias("_b"))
-    return a.join(other, F.col("Id") == F.col("_i"), "left").select(
-        "Id", F.when(F.col("_b").isNull(), F.col("Class")).otherwise(F.md5(F.concat("Class", "_b"))).alias("Class")
+    return a.join(other, F.col("Id") == F.col("_i"), "full").select(
+        F.coalesce("Id", "_i").alias("Id"),
+        F.when(F.col("_b").isNull(), F.col("Class")).when(F.col("Class").isNull(), F.col("_b"))
+        .otherwise(F.md5(F.concat("Class", "_b"))).alias("Class"),
     )
 
 
 def match_entities(p1: Project, p2: Project, rules=MATCH_RULES) -> tuple[DataFrame, DataFrame]:
-    """Id and Class of every record of both projects, built rule by rule."""
+    """Id and Class of every record of both projects, one class a record.
+
+    Rules go in order; key-valued columns are read through the classes that the
+    rules before have built.  Several rules for one table, or tables that share
+    ids, meet in one class: records match when they agree under all of them.
+    """
     def build(p: Project) -> DataFrame:
         out = None
         for table, columns, keys in rules:
             if table not in p or "Id" not in p[table].columns:
                 continue
             fresh = record_classes(p[table], columns, keys, out)
-            out = fresh if out is None else out.unionByName(fresh)
+            out = fresh if out is None else refine(out, fresh)
         return out
 
     return build(p1), build(p2)
@@ -85,35 +95,109 @@ def zero_matches(c1: DataFrame, c2: DataFrame) -> DataFrame:
     return c1.join(c2.select("Class"), "Class", "left_anti").select("Id", "Class")
 
 
+def key_text(keys: list[str]) -> Column:
+    """The values of a key as one text that no other values give: parts by ``|``, null as ``\\N``."""
+    escaped = lambda k: F.replace(F.replace(F.col(k).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+    return F.concat_ws("|", *[F.coalesce(escaped(k), F.lit("\\N")) for k in keys]) if keys else F.lit("")
+
+
 def _keyed(df: DataFrame, keys: list[str], classes: DataFrame) -> DataFrame:
     """Rows with ``_class`` (keys read through classes) and ``_key`` (as they are)."""
     for k in keys:
         if k in KEY_VALUED:
             df = _through(df, k, classes)
     parts = [F.col(f"_c_{k}") if k in KEY_VALUED else F.col(k) for k in keys]
-    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]) if keys else F.lit("")
-    return df.withColumn("_class", _digest(parts)).withColumn("_key", text)
+    return df.withColumn("_class", _digest(parts)).withColumn("_key", key_text(keys))
+
+
+def _meet(rows: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows of the two sides paired by rank inside a group, and those left over.
+
+    Ranks come from bucketed numbering, so a group of any size is ranked by many
+    tasks, and a (group, rank) holds one row of a side at most.
+    """
+    ranked = number_rows(rows, ["_key", "_body"], "_rank", group=["_side", *group])
+    side = lambda n: F.first(F.when(F.col("_side") == n, F.struct("_key", "_class", "_body")), ignorenulls=True)
+    met = cut(ranked.groupBy(*group, "_rank").agg(side(1).alias("_1"), side(2).alias("_2")).select("_1", "_2"))
+    pairs = met.filter("_1 is not null and _2 is not null")
+    rest = met.filter("_1 is null or _2 is null").select(
+        F.when(F.col("_1").isNotNull(), 1).otherwise(2).alias("_side"), F.inline(F.array(F.coalesce("_1", "_2")))
+    )
+    return pairs, rest
 
 
 def pair_rows(r1: DataFrame, r2: DataFrame) -> DataFrame:
-    """Each first-side key with its partner's key, or null.
+    """Key1, Key2, Same: every row of both sides with its partner's key, or null; no row has two.
 
-    The partner is the row of the same key if it is of the same class, else the
-    lowest key of the class, else the row of the same key.
+    Partners are, as long as any are left: rows of one class and key; of one class
+    and content (``_body``); of one class, by rank; of one key.  ``Same`` says that
+    the contents agree.
     """
-    lowest = r2.groupBy("_class").agg(F.min("_key").alias("_lowest"))
-    own = r2.select(F.col("_key").alias("_own"), F.col("_class").alias("_own_class"))
-    return (
-        r1.select("_key", "_class")
-        .join(lowest, "_class", "left")
-        .join(own, F.col("_key") == F.col("_own"), "left")
-        .select(
-            F.col("_key").alias("Key1"),
-            F.when(F.col("_own_class") == F.col("_class"), F.col("_own"))
-            .otherwise(F.coalesce("_lowest", "_own"))
-            .alias("Key2"),
+    slim = lambda r, n: r.select(F.lit(n).alias("_side"), "_key", "_class", "_body")
+    rest = slim(r1, 1).unionByName(slim(r2, 2))
+    found = []
+    for group in (["_class", "_key"], ["_class", "_body"], ["_class"], ["_key"]):
+        pairs, rest = _meet(rest, group)
+        found.append(pairs.select(
+            F.col("_1._key").alias("Key1"), F.col("_2._key").alias("Key2"),
+            F.col("_1._body").alias("_body1"), F.col("_2._body").alias("_body2"),
+        ))
+    own = lambda n, c: F.when(F.col("_side") == n, F.col(c))
+    found.append(rest.select(
+        own(1, "_key").alias("Key1"), own(2, "_key").alias("Key2"),
+        own(1, "_body").alias("_body1"), own(2, "_body").alias("_body2"),
+    ))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _compared(t1: DataFrame, t2: DataFrame, ignore: list[str]) -> list[str]:
+    return [
+        c for c in t1.columns
+        if c in t2.columns and c not in ignore and c not in KEY_VALUED and c not in XML_COLUMNS
+    ]
+
+
+def _sides(
+    t1: DataFrame, t2: DataFrame, keys: list[str], classes1: DataFrame, classes2: DataFrame, compared: list[str]
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    body = _digest([F.col(c) for c in compared])
+    r1, r2 = (_keyed(t, keys, c).withColumn("_body", body) for t, c in ((t1, classes1), (t2, classes2)))
+    return r1, r2, pair_rows(r1, r2)
+
+
+def _differences(r1: DataFrame, r2: DataFrame, pairs: DataFrame, compared: list[str]) -> DataFrame:
+    """``only in`` rows and, for pairs whose contents differ, a row per differing column."""
+    null = F.lit(None).cast("string")
+    only = pairs.filter("Key1 is null or Key2 is null").select(
+        "Key1", "Key2",
+        F.when(F.col("Key2").isNull(), "only in 1").otherwise("only in 2").alias("Status"),
+        null.alias("Column"), null.alias("Value1"), null.alias("Value2"),
+    )
+    if not compared:
+        return only
+    # Only differing pairs fetch their rows; of a key's repeated rows one per content.
+    changed = pairs.filter("Key1 is not null and Key2 is not null and _body1 <> _body2")
+    whole = lambda r, n: r.select(
+        F.col("_key").alias(f"_k{n}"), F.col("_body").alias(f"_b{n}"), F.struct(*compared).alias(f"_r{n}")
+    )
+    wanted = lambda r, n: whole(r, n).join(
+        changed.select(F.col(f"Key{n}").alias(f"_k{n}"), F.col(f"_body{n}").alias(f"_b{n}")), [f"_k{n}", f"_b{n}"], "left_semi"
+    ).dropDuplicates([f"_k{n}", f"_b{n}"])
+    both = changed.join(
+        wanted(r1, 1), (F.col("Key1") == F.col("_k1")) & (F.col("_body1") == F.col("_b1"))
+    ).join(wanted(r2, 2), (F.col("Key2") == F.col("_k2")) & (F.col("_body2") == F.col("_b2")))
+    text = lambda c: c.cast("string")
+    cells = F.array(*[
+        F.struct(
+            F.lit(c).alias("Column"), text(F.col("_r1")[c]).alias("Value1"), text(F.col("_r2")[c]).alias("Value2"),
+            (~F.col("_r1")[c].eqNullSafe(F.col("_r2")[c])).alias("Differs"),
         )
+        for c in compared
+    ])
+    differing = both.select("Key1", "Key2", F.inline(F.filter(cells, lambda x: x["Differs"]))).select(
+        "Key1", "Key2", F.lit("differs").alias("Status"), "Column", "Value1", "Value2"
     )
+    return only.unionByName(differing)
 
 
 def compare_table(
@@ -129,43 +213,9 @@ def compare_table(
     ``only in 1`` and ``only in 2`` rows have no column; ``differs`` rows come
     one per differing column.  Key-valued columns are not compared.
     """
-    r1, r2 = _keyed(t1, keys, classes1), _keyed(t2, keys, classes2)
-    pairs = pair_rows(r1, r2)
-    compared = [
-        c for c in t1.columns
-        if c in t2.columns and c not in ignore and c not in KEY_VALUED and c not in XML_COLUMNS
-    ]
-    left = r1.select(F.col("_key").alias("_k1"), F.struct(F.lit(0).alias("_"), *compared).alias("_a"))
-    right = r2.select(F.col("_key").alias("_k2"), F.struct(F.lit(0).alias("_"), *compared).alias("_b"))
-    both = (
-        pairs.filter(F.col("Key2").isNotNull())
-        .join(left, F.col("Key1") == F.col("_k1"))
-        .join(right, F.col("Key2") == F.col("_k2"))
-    )
-    text = lambda c: c.cast("string")
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("Column"), text(F.col("_a")[c]).alias("Value1"), text(F.col("_b")[c]).alias("Value2"),
-                (~F.col("_a")[c].eqNullSafe(F.col("_b")[c])).alias("Differs"),
-            )
-            for c in compared
-        ]
-    )
-    null = F.lit(None).cast("string")
-    differing = both.select("Key1", "Key2", F.inline(F.filter(cells, lambda x: x["Differs"]))).select(
-        "Key1", "Key2", F.lit("differs").alias("Status"), "Column", "Value1", "Value2"
-    ) if compared else None
-    only1 = pairs.filter(F.col("Key2").isNull()).select(
-        "Key1", "Key2", F.lit("only in 1").alias("Status"), null.alias("Column"), null.alias("Value1"), null.alias("Value2")
-    )
-    taken = pairs.select(F.col("Key2").alias("_t")).filter(F.col("_t").isNotNull())
-    only2 = r2.join(taken, F.col("_key") == F.col("_t"), "left_anti").select(
-        null.alias("Key1"), F.col("_key").alias("Key2"), F.lit("only in 2").alias("Status"),
-        null.alias("Column"), null.alias("Value1"), null.alias("Value2"),
-    )
-    frames = [only1, only2] + ([differing] if differing is not None else [])
-    return reduce(DataFrame.unionByName, frames)
+    compared = _compared(t1, t2, ignore)
+    r1, r2, pairs = _sides(t1, t2, keys, classes1, classes2, compared)
+    return _differences(r1, r2, pairs, compared)
 
 
 def xml_elements(df: DataFrame, key: str, column: str) -> DataFrame:
@@ -241,20 +291,20 @@ def compare_projects(
     keys: dict[str, list[str]] = LEGACY_KEYS,
 ) -> DataFrame:
     """Table, Key1, Key2, Status, Column, Value1, Value2 over several tables."""
-    classes1, classes2 = match_entities(p1, p2, rules)
+    classes1, classes2 = (cut(c) for c in match_entities(p1, p2, rules))
     out = []
     for table in tables or [t for t in keys if t in p1 and t in p2]:
         t1, t2 = p1[table], p2[table]
-        found = compare_table(t1, t2, keys[table], classes1, classes2, ignore)
-        out.append(found)
+        compared = _compared(t1, t2, ignore)
+        r1, r2, pairs = _sides(t1, t2, keys[table], classes1, classes2, compared)
+        out.append(_differences(r1, r2, pairs, compared).withColumn("Table", F.lit(table)))
         for column in XML_COLUMNS:
             if column in t1.columns and column in t2.columns:
-                r1, r2 = _keyed(t1, keys[table], classes1), _keyed(t2, keys[table], classes2)
                 x1, x2 = (xml_elements(r.withColumnRenamed("_key", "Key"), "Key", column) for r in (r1, r2))
-                diff = xml_differences(pair_rows(r1, r2), x1, x2, classes1, classes2)
+                diff = xml_differences(pairs.filter("Key1 is not null").select("Key1", "Key2"), x1, x2, classes1, classes2)
                 out.append(diff.select(
                     "Key1", "Key2", F.lit("differs").alias("Status"), F.lit(column).alias("Column"),
                     F.col("Difference").alias("Value1"), F.lit(None).cast("string").alias("Value2"),
+                    F.lit(table).alias("Table"),
                 ))
-        out = [f if "Table" in f.columns else f.withColumn("Table", F.lit(table)) for f in out]
     return reduce(DataFrame.unionByName, out)

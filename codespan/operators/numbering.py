@@ -7,8 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from codespan.functions.bind import let
+
 BUCKET_DIGITS = 3  # 4,096 buckets
-FILL_BUCKET = 65_536
 
 
 def _null_safe(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
@@ -57,18 +58,49 @@ def number_rows(
     )
 
 
+def range_runs(df: DataFrame, order: str, out: str, runs: int | None = None) -> DataFrame:
+    """Deal rows into runs of about equal size that follow each other in ``order``.
+
+    The borders are quantiles of the order itself, so it does not matter how far
+    apart its values lie; rows of one value share a run, nulls the first one.
+    ``runs`` defaults to the session's shuffle partitions.
+    """
+    runs = runs or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    at = [i / runs for i in range(1, runs)]
+    found = df.agg(F.percentile_approx(order, at, 100 * runs).alias("b")).first()["b"] if at else None
+    borders = sorted(set(found or []))  # a number per run
+    if not borders:
+        return df.withColumn(out, F.lit(0))
+    held = F.array(*[F.lit(b) for b in borders])
+
+    def half(span: Column, values: Column) -> Column:
+        middle = F.floor((span["low"] + span["high"]) / 2).cast("int")
+        below = F.col(order) <= F.get(values, middle)
+        open_ = span["low"] < span["high"]
+        return F.struct(
+            F.when(open_ & ~below, middle + 1).otherwise(span["low"]).alias("low"),
+            F.when(open_ & below, middle).otherwise(span["high"]).alias("high"),
+        )
+
+    whole = F.struct(F.lit(0).alias("low"), F.lit(len(borders)).alias("high"))
+    steps = F.sequence(F.lit(1), F.lit(len(borders).bit_length()))
+    run = let(held, lambda values: F.aggregate(steps, whole, lambda span, _: half(span, values), lambda s: s["low"]))
+    return df.withColumn(out, F.when(F.col(order).isNull(), 0).otherwise(run))
+
+
 def forward_fill(
     df: DataFrame,
     order: str,
     columns: list[str],
     defaults: dict[str, str] | None = None,
     blank: bool = True,
-    bucket_rows: int = FILL_BUCKET,
+    runs: int | None = None,
 ) -> DataFrame:
     """Blank cells take the last value above them in ``order``, else the default.
 
-    ``order`` is a whole-number row position.  Each run of positions is filled
-    on its own; what it inherits from the runs before is one small row per run.
+    ``order`` is a row position; gaps may be of any size.  The rows are cut into
+    ranges of about equal size (``range_runs``) and every range is filled on its
+    own; what it inherits from the ranges before is one small row per range.
     """
     defaults = defaults or {}
 
@@ -76,7 +108,7 @@ def forward_fill(
         value = F.col(c)
         return F.when(value != "", value) if blank else value
 
-    runs = df.withColumn("_run", F.floor(F.col(order) / bucket_rows))
+    runs = range_runs(df, order, "_run", runs)
     inside = Window.partitionBy("_run").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     filled = runs
     for c in columns:

@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from codespan.functions import offsets as O
 from codespan.functions.bind import let
-from codespan.functions.text import running_totals
-from codespan.session import cut
 
 CELL_WIDTH = 256
 
@@ -120,71 +118,43 @@ def intersect_terms(terms: list[DataFrame], width: int = CELL_WIDTH) -> DataFram
     return reduce(step, terms[1:], head)
 
 
-# Beyond this many character steps a text is cut into single characters first.
-SCAN_LIMIT = 1_000_000_000
+def counts_before(asked: DataFrame, texts: DataFrame, places, through: bool = False) -> DataFrame:
+    """How many of some places of a text lie before each offset: Source, k, n, at.
 
-
-def counts_before(asked: DataFrame, texts: DataFrame, measure) -> DataFrame:
-    """How much a measure counts before each offset of a text: Source, k, n, edge.
-
-    ``asked``: Source, k.  ``texts``: Source, Text.  The distinct offsets of a
-    source (no more than its text has characters) travel to the text; the text
-    is cut at them and every stretch measured once.  ``edge`` is what the first
-    character after the offset would add on its own.
+    ``asked``: Source, k.  ``texts``: Source, Text.  ``places`` gives their
+    positions from a text.  The distinct offsets of a source (no more than its
+    text has characters) travel to the text, which is gone through once, in step
+    with them.  ``at`` says whether a place lies on the offset itself.
     """
     offsets = asked.groupBy("Source").agg(F.sort_array(F.collect_set("k")).alias("ks"))
     held = offsets.join(texts.filter(F.col("Text").isNotNull()), "Source")
-    text, ks = F.col("Text"), F.col("ks")
-
-    def measured(piece):
-        def one(k, i):
-            low = F.when(i > 0, F.get(ks, i - 1)).otherwise(F.lit(0).cast("long"))
-            before = F.when(low > 0, low - 1).otherwise(low)
-            return measure(piece(before, k), low == 0)
-
-        def edge(k):
-            before = F.when(k > 0, k - 1).otherwise(k)
-            return measure(piece(before, k + 1), k == 0)
-
-        return F.struct(F.transform(ks, one).alias("counts"), F.transform(ks, edge).alias("edges"))
-
-    by_scan = measured(lambda low, high: F.substring(text, (low + 1).cast("int"), (high - low).cast("int")))
-    by_character = let(
-        F.split(text, ""),
-        lambda chars: measured(
-            lambda low, high: F.array_join(F.slice(chars, (low + 1).cast("int"), (high - low).cast("int")), "")
-        ),
-    )
-    work = F.length(text).cast("long") * F.size(ks)
-    found = F.when(work <= SCAN_LIMIT, by_scan).otherwise(by_character)
-    rows = let(
-        found,
-        lambda m: F.arrays_zip(
-            ks.alias("k"), m["counts"].alias("own"), running_totals(m["counts"]).alias("earlier"), m["edges"].alias("edge")
-        ),
-    )
-    return held.select("Source", F.inline(rows)).select(
-        "Source", "k", (F.col("own") + F.col("earlier")).alias("n"), "edge"
-    )
+    return held.select("Source", F.inline(let(places(F.col("Text")), lambda p: O.sweep(p, F.col("ks"), through))))
+
 
+def _at_both_ends(spans: DataFrame, counts: DataFrame, first, last) -> DataFrame:
+    """``spans`` with what was counted at two offsets: _n1, _at1, _n2, _at2 (null where nothing was).
+
+    Both sides read the same columns of ``counts``, so Spark counts once for both.
+    """
+    def side(i):
+        return counts.select(*[F.col(c).alias(f"_{c.lower()}{i}") for c in ("Source", "k", "n", "at")])
 
-def _translate(spans: DataFrame, texts: DataFrame, measure, sign: int, edged: bool = True) -> DataFrame:
-    end = F.col("start0") + F.col("length")
-    asked = spans.filter(F.col("start0").isNotNull() & F.col("length").isNotNull()).select(
-        "Source", F.explode(F.array(F.col("start0"), end)).alias("k")
-    ).filter(F.col("k") >= 0).distinct()
-    # Both ends of a span look offsets up; the texts are gone through once for both.
-    counts = cut(counts_before(asked, texts, measure))
-    low = counts.select(F.col("Source").alias("_s1"), F.col("k").alias("_k1"), F.col("n").alias("_n1"), "edge")
-    high = counts.select(F.col("Source").alias("_s2"), F.col("k").alias("_k2"), F.col("n").alias("_n2"))
-    joined = spans.join(low, (F.col("Source") == F.col("_s1")) & (F.col("start0") == F.col("_k1")), "left").join(
-        high, (F.col("Source") == F.col("_s2")) & (end == F.col("_k2")), "left"
+    return spans.join(side(1), (F.col("Source") == F.col("_source1")) & (first == F.col("_k1")), "left").join(
+        side(2), (F.col("Source") == F.col("_source2")) & (last == F.col("_k2")), "left"
     )
+
+
+def _translate(spans: DataFrame, texts: DataFrame, places, sign: int, edged: bool = True) -> DataFrame:
+    start, end = F.col("start0"), F.col("start0") + F.col("length")
+    asked = spans.filter(start.isNotNull() & F.col("length").isNotNull()).select(
+        "Source", F.explode(F.array(start, end)).alias("k")
+    ).filter(F.col("k") >= 0)
+    joined = _at_both_ends(spans, counts_before(asked, texts, places), start, end)
     # A pair cut by the start of the span lies in neither part.
-    straddling = F.when(F.col("length") > 0, F.col("edge")).otherwise(0) if edged else F.lit(0)
+    straddling = (F.col("_at1") & (F.col("length") > 0)).cast("int") if edged else F.lit(0)
     inside = F.greatest(F.col("_n2") - F.col("_n1") - straddling, F.lit(0))
     moved = {
-        "start0": F.col("start0") + sign * F.coalesce("_n1", F.lit(0)),
+        "start0": start + sign * F.coalesce("_n1", F.lit(0)),
         "length": F.col("length") + sign * F.coalesce(inside, F.lit(0)),
     }
     return joined.select(*[moved[c].alias(c) if c in moved else F.col(c) for c in spans.columns])
@@ -195,7 +165,7 @@ def crlf_to_lf_spans(spans: DataFrame, texts: DataFrame) -> DataFrame:
 
     ``spans`` has Source, start0, length; a source without text moves nothing.
     """
-    return _translate(spans, texts, O.crlf_pairs, -1)
+    return _translate(spans, texts, O.crlf_ends, -1)
 
 
 def lf_to_crlf_spans(spans: DataFrame, texts: DataFrame) -> DataFrame:
@@ -212,43 +182,21 @@ def nonspace_to_char(spans: DataFrame, texts: DataFrame) -> DataFrame:
     """Replace offsets that skip white space by plain character offsets.
 
     ``spans`` has ``Source``, ``StartText``, ``LengthText``; ``texts`` has
-    ``Source``, ``PlainText``.  Each text is taken apart once: the distinct
-    offsets asked of it (no more than it has characters) travel to the text,
-    not the text to every span.
+    ``Source``, ``PlainText``.  The j-th white space has its position less j
+    counted characters before it, and the k-th counted character comes after
+    every one that has k or fewer.  Past the last counted character, only the
+    text's white space is skipped.  A source without text moves nothing.
     """
-    asked = (
-        spans.select(
-            "Source",
-            F.explode(
-                F.array(F.col("StartText"), F.col("StartText") + F.greatest(F.col("LengthText"), F.lit(1)) - 1)
-            ).alias("k"),
-        )
-        .groupBy("Source")
-        .agg(F.collect_set("k").alias("ks"))
-    )
-    def located(at):
-        return F.transform(
-            "ks",
-            lambda k: F.struct(
-                k.alias("k"), O.locate_counted(at, F.length("PlainText").cast("long"), k).alias("p")
-            ),
-        )
-
-    found = cut(asked.join(texts.filter(F.col("PlainText").isNotNull()), "Source").select(
-        "Source", F.inline(let(O.counted_positions(F.col("PlainText")), located))
-    ))
-    first = found.select(F.col("Source").alias("_s1"), F.col("k").alias("_k1"), F.col("p").alias("_first"))
-    last = found.select(F.col("Source").alias("_s2"), F.col("k").alias("_k2"), F.col("p").alias("_last"))
-    end_key = F.col("StartText") + F.greatest(F.col("LengthText"), F.lit(1)) - 1
-    return (
-        spans.join(first, (F.col("Source") == F.col("_s1")) & (F.col("StartText") == F.col("_k1")), "left")
-        .join(last, (F.col("Source") == F.col("_s2")) & (end_key == F.col("_k2")), "left")
-        .withColumn("StartX", F.coalesce(F.col("_first"), F.col("StartText")))
-        .withColumn(
-            "LengthX",
-            F.when(F.col("LengthText") <= 0, F.lit(0))
-            .otherwise(F.coalesce(F.col("_last") + 1 - F.col("_first"), F.col("LengthText")))
-            .cast("long"),
-        )
-        .drop("_s1", "_k1", "_first", "_s2", "_k2", "_last")
+    start = F.col("StartText")
+    last = start + F.greatest(F.col("LengthText"), F.lit(1)) - 1
+    asked = spans.select("Source", F.explode(F.array(start, last)).alias("k")).filter(F.col("k").isNotNull())
+    before = lambda text: F.transform(O.uncounted(text), lambda at, j: at - j)
+    counts = counts_before(asked, texts.withColumnRenamed("PlainText", "Text"), before, through=True)
+    joined = _at_both_ends(spans, counts, start, last)
+    return joined.select(
+        *spans.columns,
+        (start + F.coalesce("_n1", F.lit(0))).alias("StartX"),
+        F.when(F.col("LengthText") <= 0, F.lit(0))
+        .otherwise(F.coalesce(last + F.col("_n2") + 1 - start - F.col("_n1"), F.col("LengthText")))
+        .cast("long").alias("LengthX"),
     )

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codespan.functions.guard import demand
@@ -292,6 +293,7 @@ def sentences(texts: DataFrame, column: str = "Content") -> DataFrame:
 
 
 Extractor = Callable[[Column], Column]
+PLACE = ["Source", "start0", "end0"]
 
 
 def phrase_occurrences(texts: DataFrame, extractor: Extractor = word_pairs) -> DataFrame:
@@ -304,15 +306,64 @@ def phrase_occurrences(texts: DataFrame, extractor: Extractor = word_pairs) -> D
     )
 
 
-def phrase_frequency(texts: DataFrame, threshold: int = 0, extractor: Extractor = word_pairs) -> DataFrame:
-    """Count of each phrase over all texts, those at or above the threshold (0 = all)."""
-    found = spread(texts.select("Id", "Content"), "Id").select(
-        F.explode(extractor(F.lower("Content"))).alias("Phrase")
+def _runs(texts: DataFrame) -> DataFrame:
+    """Source, start0, end0 of a sentence, run, k and Word of its words, stop words left out.
+
+    Words of one run follow each other with nothing but spaces between.
+    """
+    pieces = F.regexp_extract_all(F.col("Sentence"), F.lit(r"[\p{L}\p{M} ]+"), F.lit(0))
+    kept = sentences(texts).select(F.col("Id").alias("Source"), "start0", "end0", F.posexplode(pieces).alias("run", "_piece"))
+    words = kept.select(
+        *PLACE, "run", F.posexplode(F.filter(F.split("_piece", " +"), lambda w: w != "")).alias("k", "Word")
     )
+    return words.filter(~F.col("Word").isin(STOP_WORDS))
+
+
+def frequent_runs(texts: DataFrame, threshold: int, longest: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Frequent phrases of one to ``longest`` words: where they stand, and how often each occurs.
+
+    A phrase is a run of neighbouring words without stop words that occurs
+    ``threshold`` times or more.  Phrases grow word by word: one can only be
+    frequent if both parts that lack an end word are, so a level looks at those
+    alone, and texts are taken apart once.  ``occurrences`` (Source, start0, end0
+    of the sentence, k, Phrase) keep the longest phrase at a place: one inside a
+    longer frequent phrase there is left out.  ``counts`` (Phrase, n) has them all.
+    """
+    spot = ["Source", "start0", "end0", "run", "k"]
+    level = cut(_runs(texts)).withColumn("Phrase", F.col("Word"))
+    counts, levels = [], []
+    for size in range(1, longest + 1):
+        found = level.groupBy("Phrase").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= threshold)
+        counts.append(cut(found))
+        frequent = counts[-1].select("Phrase")
+        levels.append(cut(level.join(frequent, "Phrase", "left_semi").select(*spot, "Word", "Phrase")))
+        if size == longest:
+            break
+        # A phrase and the one that begins a word later make the next longer one.
+        order = Window.partitionBy(*PLACE, "run").orderBy("k")
+        follows = F.lead("k").over(order) == F.col("k") + 1
+        last = F.lead("_last").over(order)
+        level = levels[-1].withColumn("_last", F.substring_index("Phrase", " ", -1)).withColumn(
+            "_longer", F.when(follows, F.concat("Phrase", F.lit(" "), last))
+        ).filter(F.col("_longer").isNotNull()).select(*spot, "Word", F.col("_longer").alias("Phrase"))
+    kept = []
+    for shorter, longer in zip(levels, levels[1:], strict=False):
+        covered = longer.select(*spot[:-1], F.explode(F.array(F.col("k"), F.col("k") + 1)).alias("k"))
+        kept.append(shorter.join(covered, spot, "left_anti"))
+    occurrences = reduce(DataFrame.unionByName, [*kept, levels[-1]])
+    return occurrences.select(*PLACE, "run", "k", "Phrase"), reduce(DataFrame.unionByName, counts)
+
+
+def _frequent(found: DataFrame, threshold: int) -> DataFrame:
     counts = found.groupBy("Phrase").agg(F.count(F.lit(1)).alias("n"))
     return counts.filter(F.col("n") >= threshold) if threshold else counts
 
 
+def phrase_frequency(texts: DataFrame, threshold: int = 0, extractor: Extractor = word_pairs) -> DataFrame:
+    """Count of each phrase over all sentences, those at or above the threshold (0 = all)."""
+    return _frequent(phrase_occurrences(texts.select("Id", "Content"), extractor), threshold)
+
+
 PHRASE_CATEGORY = "Noun Phrases"
 
 
@@ -322,20 +373,28 @@ def tag_phrases(
     now: datetime,
     threshold: int = 0,
     source_category: str | None = None,
-    extractor: Extractor = word_pairs,
+    extractor: Extractor | None = word_pairs,
     limit: int | None = None,
+    longest: int = 4,
 ) -> Project:
     """A node per frequent phrase and a tagging of the sentence per occurrence.
 
-    Fragments are zero-based with the end included.
+    Without an ``extractor``, phrases are frequent runs of up to ``longest`` words
+    (see :func:`frequent_runs`).  Fragments are zero-based with the end included.
     """
     if source_category is not None:
         require_source_category(p, source_category)
     spark = p["Node"].sparkSession
     texts = filter_sources(p, category=source_category, limit=limit).select("Id", "Content")
-    found = phrase_occurrences(texts, extractor)
-    # Several branches need the kept phrases; the texts are read once for them.
-    frequent = cut(phrase_frequency(texts, threshold, extractor))
+    # Texts are taken apart once: what is counted is also what is tagged.
+    if extractor is None:
+        found, counts = frequent_runs(texts, max(threshold, 1), longest)
+        found = found.withColumn("k", F.struct("run", "k"))
+        used = found.select("Phrase").distinct()
+        frequent = cut(counts.join(used, "Phrase", "left_semi"))
+    else:
+        found = cut(phrase_occurrences(texts, extractor))
+        frequent = cut(_frequent(found, threshold))
     categories, category_ids = get_or_create(
         p["NodeCategory"], spark.createDataFrame([(PHRASE_CATEGORY,)], "Name string"), "NodeCategory", user, now,
         description=None,
@@ -350,7 +409,8 @@ def tag_phrases(
     ids = node_ids.join(frequent.select(F.col("Phrase").alias("_f")), F.col("Name") == F.col("_f"), "left_semi")
     rows = found.join(ids.select("Name", F.col("Id").alias("Node")), F.col("Phrase") == F.col("Name")).select(
         "Source", "Node",
-        FR.format_fragment(F.col("start0"), F.col("end0"), base="zero_incl").alias("Fragment"), "k",
+        FR.format_fragment(F.col("start0"), F.col("end0"), base="zero_incl").alias("Fragment"),
+        F.col("k").cast("string").alias("k"),
     )
     tagged = rows.withColumn("Id", deterministic_id("Tagging", F.lit("phrase"), *[F.col(c) for c in rows.columns]))
     return p | {

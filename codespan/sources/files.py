@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import csv
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from codespan.sources.project import _exists, _filesystem
+from codespan.sources.sheets import sheet_rows
 
 
 def with_row_numbers(df: DataFrame, name: str = "Row") -> DataFrame:
@@ -43,33 +42,21 @@ def read_table_csv(
 ) -> DataFrame:
     """A sheet as strings with its row numbers in ``Row``.
 
-    Quoted cells may hold line ends (``multiline``, one task per file; turn it
-    off for big files without such cells).  Lines beginning with ``#`` are
-    skipped; with ``comments="top"`` only those before the header are, and the
-    file is read as plain lines.
+    Quoted cells may hold line ends; the file is still read by many tasks (see
+    ``sheets``).  ``multiline=False`` leaves the search for such cells out.  Lines
+    beginning with ``#`` are skipped; with ``comments="top"`` only those before
+    the header are.
     """
-    options = {"header": True, "escape": '"', "multiLine": multiline, "inferSchema": False}
-    if comments == "top":
-        df = _read_after_comments(spark, path, options)
+    if multiline or comments == "top":
+        df = sheet_rows(spark, path, comments)
     else:
-        df = with_row_numbers(spark.read.options(**options, comment="#").csv(path))
+        options = {"header": True, "escape": '"', "inferSchema": False, "comment": "#"}
+        df = with_row_numbers(spark.read.options(**options).csv(path))
     if namecol:
         df = df.withColumnRenamed(namecol, "Name")
     return df.filter(F.col("Row") <= limit) if limit else df
 
 
-def _read_after_comments(spark: SparkSession, path: str, options: dict) -> DataFrame:
-    """The sheet below the comment lines at the top of a single file."""
-    lines = with_row_numbers(spark.read.text(path), "_line")
-    header = lines.filter(~F.col("value").startswith("#")).orderBy("_line").first()
-    names = next(csv.reader([header["value"]]))
-    schema = ", ".join(f"`{n}` string" for n in names)
-    first = F.lit(header["_line"])
-    body = lines.filter(F.col("_line") > first)
-    cells = F.from_csv(F.col("value"), schema, {"escape": '"'})
-    return body.select(cells.alias("_c"), (F.col("_line") - first).alias("Row")).select("_c.*", "Row")
-
-
 def read_source_files(spark: SparkSession, pattern: str, encoding: str = "UTF-8") -> DataFrame:
     """One source row per file; text files are decoded into Content."""
     files = spark.read.format("binaryFile").load(pattern)

@@ -35,18 +35,29 @@ def test_numbers_are_dense_in_a_hot_group(spark):
     assert all(tuple(r)[1:] == (1, r[4], r[4], r[4]) for r in rows) and len(rows) == 2
 
 
-def test_forward_fill_across_runs(spark):
+@pytest.mark.parametrize("spacing, runs", [(1, 30), (10**12, 30), (1, 1), (7, None)])
+def test_forward_fill_across_runs(spark, spacing, runs):
     rng = random.Random(5)
     cells = [rng.choice(["", None, "", "a", "b"]) for _ in range(200)]
-    df = spark.createDataFrame(list(enumerate(cells)), "Row long, c string")
+    rows = [(i * spacing + rng.randrange(spacing), c) for i, c in enumerate(cells)]
+    df = spark.createDataFrame(rng.sample(rows, len(rows)), "Row long, c string").repartition(4)
     last, want = "first", []
     for c in cells:
         last = c or last
         want.append(last)
-    got = N.forward_fill(df, "Row", ["c"], {"c": "first"}, bucket_rows=7).orderBy("Row").collect()
+    got = N.forward_fill(df, "Row", ["c"], {"c": "first"}, runs=runs).orderBy("Row").collect()
     assert [r.c for r in got] == want
 
 
+def test_runs_are_even_however_sparse(spark):
+    df = spark.range(5000).select(F.expr("id * id * id").alias("Row"), F.lit("x").alias("c"))
+    df = df.union(spark.createDataFrame([(10**17, "far"), (None, "none")], "Row long, c string"))
+    sizes = N.range_runs(df, "Row", "run", 20).groupBy("run").agg(
+        F.count("*").alias("n"), F.min("Row").alias("low"), F.max("Row").alias("high")).orderBy("run").collect()
+    assert len(sizes) == 20 and max(r.n for r in sizes) < 300
+    assert all(a.high < b.low for a, b in zip(sizes, sizes[1:]))
+
+
 def test_merge_refuses_duplicate_keys(spark):
     t = spark.createDataFrame([("a", "1")], "Id string, v string")
     d = spark.createDataFrame([("b", "1"), ("b", "2")], "Id string, v string")
@@ -95,9 +106,9 @@ def test_tree_reports_cycles_and_orphans(spark):
     rows = [("a", None), ("b", "a"), ("c", "b"), ("x", "y"), ("y", "z"), ("z", "x"), ("o", "gone"), ("p", "o")]
     nodes = spark.createDataFrame([(i, p, i.upper(), True) for i, p in rows],
                                   "Id string, Parent string, Name string, Aggregate boolean")
-    walked = {r.Id: (r.Depth, r.TopParent, r.HierarchicalName) for r in tree.tree_walk(nodes, "Nodes", 16).collect()}
+    walked = {r.Id: (r.Depth, r.TopParent, r.HierarchicalName) for r in tree.tree_walk(nodes, "Nodes").collect()}
     assert walked == {"a": (0, "a", "Nodes\\\\A"), "b": (1, "a", "Nodes\\\\A\\B"), "c": (2, "a", "Nodes\\\\A\\B\\C")}
-    lost = {r.Id: r.Reason for r in tree.unreachable(nodes, 16).collect()}
+    lost = {r.Id: r.Reason for r in tree.unreachable(nodes).collect()}
     assert lost == {"x": "cycle", "y": "cycle", "z": "cycle", "o": "orphan", "p": "orphan"}
 
 

@@ -94,7 +94,7 @@ def random_text(rng, n, alphabet="ab \r\n\t é"):
     return "".join(rng.choice(alphabet) for _ in range(n))
 
 
-def test_set_based_offsets_equal_row_functions(spark, monkeypatch):
+def test_set_based_offsets_equal_row_functions(spark):
     rng = random.Random(3)
     texts = [(f"s{i}", random_text(rng, rng.randrange(1, 60)).replace("a\r", "a\r\n")) for i in range(40)]
     spans = []
@@ -108,14 +108,45 @@ def test_set_based_offsets_equal_row_functions(spark, monkeypatch):
         (S.crlf_to_lf_spans, O.span_crlf_to_lf), (S.lf_to_crlf_spans, O.span_lf_to_crlf),
         (S.char_to_nonspace_spans, O.char_to_nonspace_span),
     ]
-    for limit in (10**9, 0):
-        monkeypatch.setattr(S, "SCAN_LIMIT", limit)
-        for by_set, by_row in cases:
-            one = df.join(held, "Source").select(
-                "Source", by_row(F.col("Text"), F.col("start0"), F.col("length")).alias("m")
-            ).select("Source", "m.*")
-            other = by_set(df, held).select("Source", "start0", "length")
-            assert sorted(map(tuple, one.collect())) == sorted(map(tuple, other.collect()))
+    for by_set, by_row in cases:
+        one = df.join(held, "Source").select(
+            "Source", by_row(F.col("Text"), F.col("start0"), F.col("length")).alias("m")
+        ).select("Source", "m.*")
+        other = by_set(df, held).select("Source", "start0", "length")
+        assert sorted(map(tuple, one.collect())) == sorted(map(tuple, other.collect()))
+
+
+def test_offsets_of_empty_absent_and_long_texts(spark):
+    long = "word \r\n" * 60_000
+    texts = spark.createDataFrame([("empty", ""), ("null", None), ("long", long)], "Source string, Text string")
+    spans = [("empty", 0, 0), ("null", 3, 4), ("absent", 3, 4), ("long", 0, len(long)), ("long", 7, 0),
+             ("long", len(long) - 1, 1), ("long", None, 2), ("empty", 5, 2)]
+    df = spark.createDataFrame(spans, "Source string, start0 long, length long")
+    got = {tuple(r)[:1] + (i,): tuple(r)[1:] for i, r in enumerate(S.crlf_to_lf_spans(df, texts).collect())}
+    assert sorted(got.values(), key=str) == sorted(
+        [(0, 0), (3, 4), (3, 4), (0, 6 * 60_000), (6, 0), (6 * 60_000, 1), (None, 2), (5, 2)], key=str)
+    packed = S.char_to_nonspace_spans(df.filter("Source = 'long' and length > 6"), texts).first()
+    assert (packed.start0, packed.length) == (0, 4 * 60_000)
+    back = S.nonspace_to_char(
+        spark.createDataFrame([("long", 4 * 60_000 - 1, 1), ("long", 4, 4), ("absent", 2, 2)],
+                              "Source string, StartText long, LengthText long"),
+        texts.withColumnRenamed("Text", "PlainText")).collect()
+    assert {(r.StartX, r.LengthX) for r in back} == {(7 * 60_000 - 4, 1), (7, 4), (2, 2)}
+
+
+def test_texts_are_counted_once_for_both_ends(spark):
+    df = spark.range(10).select(F.lit("a").alias("Source"), F.col("id").alias("start0"), F.lit(2).cast("long").alias("length"))
+    texts = spark.createDataFrame([("a", "x \n" * 9)], "Source string, Text string").repartition(2)
+    moved = S.lf_to_crlf_spans(df, texts)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved = S.lf_to_crlf_spans(df, texts)
+        moved.collect()
+        plan = moved._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "ReusedExchange" in plan
 
 
 def test_nonspace_select(spark):
