@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["spans", "tables", "texts", "trees", "taggings", "layouts", "loads"]
+MODULES = ["spans", "tables", "texts", "trees", "taggings", "layouts", "loads", "storage"]
 
 
 def load_all() -> None:

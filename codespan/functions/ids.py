@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+NULL = "\u0000"  # what stands for null in a key
+
 
 def deterministic_id(kind: str, *parts: Column) -> Column:
-    """A UUID-shaped digest of a table name and a natural key.
+    """A UUID-shaped digest of a table name and a natural key, in which null differs from blank.
 
     ``uuid()`` would give another value when a lost task is run again, so ids
     that two branches of a plan must agree on are digests instead.
     """
-    text = F.concat_ws("\u001f", F.lit(kind), *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
+    text = F.concat_ws("\u001f", F.lit(kind), *[F.coalesce(p.cast("string"), F.lit(NULL)) for p in parts])
     return as_uuid(F.md5(text))
 
 

@@ -9,26 +9,29 @@ from codespan.functions.bind import let
 from codespan.schemas import SHIFT
 
 
-def shift_encode(text: Column) -> Column:
-    """Move every character up by the fixed code offset."""
-    def up(c):
-        code = F.hex(F.ascii(c) + SHIFT)
-        return F.decode(F.unhex(F.lpad(code, 4, "0")), "UTF-16BE")
+def _shifted(text: Column, by: int) -> Column:
+    def moved(code: Column) -> Column:
+        fits = (code >= 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        four_bytes = F.unhex(F.lpad(F.hex(F.when(fits, code).otherwise(0xFFFD)), 8, "0"))
+        return F.decode(four_bytes, "UTF-32")
 
     return F.when(F.length(text) == 0, text).otherwise(
-        F.array_join(F.transform(F.split(text, ""), up), "")
+        F.array_join(F.transform(F.split(text, ""), lambda c: let(F.ascii(c) + by, moved)), "")
     )
 
 
+def shift_encode(text: Column) -> Column:
+    """Move every character up by the fixed code offset.
+
+    A character that would leave Unicode or become half of a pair, which no text
+    can hold, is replaced by U+FFFD.
+    """
+    return _shifted(text, SHIFT)
+
+
 def shift_decode(text: Column) -> Column:
     """Inverse of :func:`shift_encode`."""
-    def down(c):
-        code = F.hex(F.ascii(c) - SHIFT)
-        return F.decode(F.unhex(F.lpad(code, 4, "0")), "UTF-16BE")
-
-    return F.when(F.length(text) == 0, text).otherwise(
-        F.array_join(F.transform(F.split(text, ""), down), "")
-    )
+    return _shifted(text, -SHIFT)
 
 
 def crlf_to_lf(text: Column) -> Column:

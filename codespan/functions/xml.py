@@ -74,3 +74,14 @@ LAYOUT_TAIL = (
     "<ColumnsUserOrdered>true</ColumnsUserOrdered>"
     "</CategoryLayout>"
 )
+
+
+def layout_elements(layout: Column) -> Column:
+    """(Tag, Item, Index) of the rows and columns in a part of a layout document, in order."""
+    # Fixed value: the shape of an element that layout_element makes.
+    pattern = F.lit(r'<(Row|Column) Guid="([^"]*)"[^>]* Id="([0-9]+)"')
+    parts = [F.regexp_extract_all(layout, pattern, F.lit(i)) for i in (1, 2, 3)]
+    return F.transform(
+        F.arrays_zip(parts[0].alias("Tag"), parts[1].alias("Item"), parts[2].alias("Index")),
+        lambda x: F.struct(x["Tag"].alias("Tag"), x["Item"].alias("Item"), x["Index"].cast("long").alias("Index")),
+    )

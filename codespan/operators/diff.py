@@ -83,16 +83,20 @@ def apply_difference(target: Project, difference: Project, parents: Project) ->
 
 
 def validate_keys(p: Project, keys=FOREIGN_KEYS) -> DataFrame:
-    """Rows whose reference leads nowhere, as (Table, Column, Value, n)."""
+    """References that lead nowhere, as (Table, Column, Value, n).
+
+    A reference over several columns is one value, its parts joined by ``|``; one
+    with a null part refers to nothing.
+    """
     found = []
     for child, columns, parent, referred in keys:
         if child not in p or parent not in p:
             continue
-        c, r = columns[0], referred[0]
-        orphans = (
-            p[child].filter(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("Value"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .join(p[parent].select(F.col(r).alias("Value")), "Value", "left_anti")
-        )
-        found.append(orphans.select(F.lit(child).alias("Table"), F.lit(c).alias("Column"), "Value", "n"))
+        used = p[child].dropna(subset=columns).groupBy(*[F.col(c).alias(f"_u{i}") for i, c in enumerate(columns)])
+        there = p[parent].select(*[F.col(r).alias(f"_u{i}") for i, r in enumerate(referred)])
+        on = [f"_u{i}" for i in range(len(columns))]
+        orphans = used.agg(F.count(F.lit(1)).alias("n")).join(there, on, "left_anti")
+        value = F.concat_ws("|", *[F.col(c).cast("string") for c in on])
+        found.append(orphans.select(
+            F.lit(child).alias("Table"), F.lit("|".join(columns)).alias("Column"), value.alias("Value"), "n"))
     return reduce(DataFrame.unionByName, found)

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codespan.operators.numbering import number_rows
@@ -110,13 +110,17 @@ def _keyed(df: DataFrame, keys: list[str], classes: DataFrame) -> DataFrame:
     return df.withColumn("_class", _digest(parts)).withColumn("_key", key_text(keys))
 
 
-def _meet(rows: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame]:
+def _meet(rows: DataFrame, group: list[str], shared: bool) -> tuple[DataFrame, DataFrame]:
     """Rows of the two sides paired by rank inside a group, and those left over.
 
-    Ranks come from bucketed numbering, so a group of any size is ranked by many
-    tasks, and a (group, rank) holds one row of a side at most.
+    A group that many rows may share is ranked by bucketed numbering, so by many
+    tasks; a (group, rank) then holds one row of a side at most.
     """
-    ranked = number_rows(rows, ["_key", "_body"], "_rank", group=["_side", *group])
+    if shared:
+        ranked = number_rows(rows, ["_key", "_body"], "_rank", group=["_side", *group])
+    else:
+        order = Window.partitionBy("_side", *group).orderBy("_body")
+        ranked = rows.withColumn("_rank", F.row_number().over(order))
     side = lambda n: F.first(F.when(F.col("_side") == n, F.struct("_key", "_class", "_body")), ignorenulls=True)
     met = cut(ranked.groupBy(*group, "_rank").agg(side(1).alias("_1"), side(2).alias("_2")).select("_1", "_2"))
     pairs = met.filter("_1 is not null and _2 is not null")
@@ -127,21 +131,24 @@ def _meet(rows: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame]:
 
 
 def pair_rows(r1: DataFrame, r2: DataFrame) -> DataFrame:
-    """Key1, Key2, Same: every row of both sides with its partner's key, or null; no row has two.
+    """Key1, Key2, _body1, _body2: every row of both sides with its partner's key, or null; no row has two.
 
     Partners are, as long as any are left: rows of one class and key; of one class
-    and content (``_body``); of one class, by rank; of one key.  ``Same`` says that
-    the contents agree.
+    and content (``_body``); of one class, by rank; of one key.
     """
     slim = lambda r, n: r.select(F.lit(n).alias("_side"), "_key", "_class", "_body")
     rest = slim(r1, 1).unionByName(slim(r2, 2))
     found = []
-    for group in (["_class", "_key"], ["_class", "_body"], ["_class"], ["_key"]):
-        pairs, rest = _meet(rest, group)
+    for group, shared in (
+        (["_class", "_key"], False), (["_class", "_body"], True), (["_class"], True), (["_key"], False)
+    ):
+        pairs, rest = _meet(rest, group, shared)
         found.append(pairs.select(
             F.col("_1._key").alias("Key1"), F.col("_2._key").alias("Key2"),
             F.col("_1._body").alias("_body1"), F.col("_2._body").alias("_body2"),
         ))
+        if rest.isEmpty():
+            break
     own = lambda n, c: F.when(F.col("_side") == n, F.col(c))
     found.append(rest.select(
         own(1, "_key").alias("Key1"), own(2, "_key").alias("Key2"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from codespan.functions.bind import let
 
 BUCKET_DIGITS = 3  # 4,096 buckets
+FEW_BORDERS = 32  # up to here a row is compared with every border, beyond by halving
 
 
 def _null_safe(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
@@ -71,6 +72,9 @@ def range_runs(df: DataFrame, order: str, out: str, runs: int | None = None) ->
     borders = sorted(set(found or []))  # a number per run
     if not borders:
         return df.withColumn(out, F.lit(0))
+    if len(borders) <= FEW_BORDERS:
+        return df.withColumn(out, reduce(lambda a, b: a + b, [
+            F.when(F.col(order) > F.lit(b), 1).otherwise(0) for b in borders]))
     held = F.array(*[F.lit(b) for b in borders])
 
     def half(span: Column, values: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from codespan.functions.ids import deterministic_id
 from codespan.functions.values import colour_to_int
-from codespan.plans.common import Actions, distinct_names
+from codespan.plans.common import Actions, copies, distinct_names
 from codespan.schemas import CANONICAL, FORMAT_VERSION
 from codespan.sources.project import conform
 
@@ -89,10 +89,11 @@ def import_imagecoding(
         )
     if actions.wants("taggings"):
         text = lambda c: F.col(c).cast("string")
-        out["Tagging"] = raw["imageCoding"].select(
-            deterministic_id(
-                "Tagging", *[F.col(c) for c in ("images_id", "codes_id", "x1", "y1", "x2", "y2", "owner", "date")]
-            ).alias("Id"),
+        place = ["images_id", "codes_id", "x1", "y1", "x2", "y2", "owner", "date", "memo"]
+        counted = raw["imageCoding"].groupBy(*place).agg(F.count(F.lit(1)).alias("_times"))
+        rows = copies(counted, "_times", "copy")  # equal rectangles are told apart by number
+        out["Tagging"] = rows.select(
+            deterministic_id("Tagging", *[F.col(c) for c in (*place, "copy")]).alias("Id"),
             source_id("images_id").alias("Source"), node_id("codes_id").alias("Node"),
             F.concat(text("x1"), F.lit(":"), text("x2"), F.lit(","), text("y1"), F.lit(":"), text("y2")).alias("Fragment"),
             F.col("memo").alias("Memo"), *own,

@@ -21,6 +21,7 @@ from codespan.functions.values import data_type_code, legacy_value, object_type_
 from codespan.operators import attributes as A
 from codespan.operators import spans as S
 from codespan.operators.merge import merge_table, put_project, reassign_users
+from codespan.operators.nested import read_parts
 from codespan.operators.numbering import next_ordinals, number_rows
 from codespan.operators.tree import aggregate_pairs, tree_walk
 from codespan.plans.common import Actions, union_all
@@ -194,7 +195,7 @@ def export_nodes(p: Project, raw: Project, platform: str = WINDOWS, major: str =
         columns["HierarchicalName"] = F.col("HierarchicalName")
     kind = F.when(is_node, ITEM_TYPE["node"]).otherwise(ITEM_TYPE["case"])
     head_node = system_folder(raw, "node", platform)
-    head_case = system_folder(raw, "case", platform) if major > "10" else F.lit(None).cast("string")
+    head_case = system_folder(raw, "case", platform) if int(major) > 10 else F.lit(None).cast("string")
     grown = _add(raw, Item=[_item(new, kind, **columns)])
     return add_edges(grown, node_edges(new.select("Id", "Parent", "Category"), walk, pairs, head_node, head_case, major))
 
@@ -419,6 +420,12 @@ def category_layouts(raw: Project, kind: str, member: str = "member", rows_per_p
     )
 
 
+def read_layouts(raw: Project) -> DataFrame:
+    """Category, Place, Tag, Item, Index: the elements of all layout documents, whatever parts they lie in."""
+    parts = raw["Category"].select(F.col("Item_Id").alias("Category"), "Part", X.layout_elements(F.col("Layout")).alias("_e"))
+    return read_parts(parts, ["Category"], "_e")
+
+
 def export_layouts(raw: Project, kind: str, member: str = "member") -> Project:
     layouts = category_layouts(raw, kind, member)
     kept = raw["Category"].join(layouts.select("Item_Id").distinct(), "Item_Id", "left_anti")
@@ -586,12 +593,14 @@ def export_legacy(
         step(lambda r: export_nodes(p, r, platform, major))
     if actions.wants("node_attributes"):
         step(lambda r: export_attributes(p, r, "Node", actions["node_attributes"], platform))
-    step(lambda r: export_layouts(r, "node_classification"))
+    if any(actions.wants(k) for k in ("node_categories", "nodes", "node_attributes")):
+        step(lambda r: export_layouts(r, "node_classification"))
     if actions.wants("source_categories"):
         step(lambda r: export_categories(p, r, "Source", actions["source_categories"], platform))
     if actions.wants("sources"):
         step(lambda r: export_sources(p, r, actions["sources"], platform))
     if actions.wants("source_attributes"):
         step(lambda r: export_attributes(p, r, "Source", actions["source_attributes"], platform))
-    step(lambda r: export_layouts(r, "source_classification"))
+    if any(actions.wants(k) for k in ("source_categories", "sources", "source_attributes")):
+        step(lambda r: export_layouts(r, "source_classification"))
     return export_taggings(p, raw, actions, platform)

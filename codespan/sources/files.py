@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from codespan.sources.project import _exists, _filesystem
@@ -57,6 +57,28 @@ def read_table_csv(
     return df.filter(F.col("Row") <= limit) if limit else df
 
 
+# The character sets that Spark decodes itself.
+SPARK_CHARSETS = {"us-ascii", "iso-8859-1", "utf-8", "utf-16be", "utf-16le", "utf-16", "utf-32"}
+
+
+def decoded(content: Column, encoding: str) -> Column:
+    """Bytes as text in Spark's own character sets or in any code page of one byte a character.
+
+    A code page is a table of 256 characters.  Read as ISO 8859-1 every byte is one
+    character, and those that stand for another are translated.  Bytes that the
+    code page leaves open become U+FFFD.
+    """
+    if encoding.lower() in SPARK_CHARSETS:
+        return F.decode(content, encoding)
+    every = bytes(range(256))
+    page = every.decode(encoding, "replace")
+    if len(page) != 256 or any(bytes([b]).decode(encoding, "replace") != c for b, c in zip(every, page, strict=True)):
+        raise ValueError(f"{encoding} is not a code page of one byte a character")
+    moved = [(a, b) for a, b in zip(every.decode("iso-8859-1"), page, strict=True) if a != b]
+    plain = F.decode(content, "ISO-8859-1")
+    return F.translate(plain, "".join(a for a, _ in moved), "".join(b for _, b in moved)) if moved else plain
+
+
 def read_source_files(spark: SparkSession, pattern: str, encoding: str = "UTF-8") -> DataFrame:
     """One source row per file; text files are decoded into Content."""
     files = spark.read.format("binaryFile").load(pattern)
@@ -68,14 +90,29 @@ def read_source_files(spark: SparkSession, pattern: str, encoding: str = "UTF-8"
         name.alias("ObjectFile"),
         kind.alias("ObjectType"),
         F.col("content").alias("Object"),
-        F.when(is_text, F.decode("content", encoding)).alias("Content"),
+        F.when(is_text, decoded(F.col("content"), encoding)).alias("Content"),
     )
 
 
-def write_query_csv(df: DataFrame, columns: list[str], path: str) -> None:
+def write_ordered(df: DataFrame, order: list[str | Column], path: str) -> None:
+    """Write rows so that their order survives: ranges of it in numbered files, each sorted.
+
+    Spark cuts the order into ranges by sampling it, so no task sorts more than its
+    share.  Nulls come first.
+    """
+    df.orderBy(*order).write.mode("overwrite").parquet(path)
+
+
+def read_ordered(spark: SparkSession, path: str, name: str = "Row") -> DataFrame:
+    """What :func:`write_ordered` wrote, with each row's place in the order."""
+    return with_row_numbers(spark.read.parquet(path), name)
+
+
+def write_query_csv(df: DataFrame, columns: list[str], path: str, order: list[str | Column] | None = None) -> None:
     """Columns in a fixed order, others left out, missing ones blank.
 
-    Output already at ``path`` moves to ``path.bak`` first.
+    Output already at ``path`` moves to ``path.bak`` first.  With ``order``, rows
+    are sorted inside files and from file to file.
     """
     spark = df.sparkSession
     if _exists(spark, path):
@@ -85,32 +122,7 @@ def write_query_csv(df: DataFrame, columns: list[str], path: str) -> None:
             fs.delete(bak, True)
         if not fs.rename(old, bak):
             raise RuntimeError(f"cannot keep {path} as {path}.bak")
-    chosen = df.select(
+    chosen = (df.orderBy(*order) if order else df).select(
         *[(F.col(c) if c in df.columns else F.lit("")).cast("string").alias(c) for c in columns]
     ).fillna("")
     chosen.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
-
-
-def export_objects(sources: DataFrame, like: str, path: str) -> None:
-    """The bytes of every source whose name matches, as ``Name.ext`` under a shared folder.
-
-    A file appears under its name only when it is whole, so a task that is run
-    again simply writes it again.
-    """
-    rows = sources.filter(F.col("Name").like(like) & F.col("Object").isNotNull()).select(
-        "Name", F.lower(F.coalesce("ObjectType", F.lit("bin"))).alias("ext"), "Object"
-    )
-
-    def write(part):
-        import os
-        import uuid
-
-        os.makedirs(path, exist_ok=True)
-        for row in part:
-            target = os.path.join(path, f"{row['Name'].replace('/', '_')}.{row['ext']}")
-            draft = f"{target}.{uuid.uuid4().hex}"
-            with open(draft, "wb") as f:
-                f.write(row["Object"])
-            os.replace(draft, target)
-
-    rows.foreachPartition(write)

@@ -84,31 +84,45 @@ def read_project(
     version = _current_version(spark, path)
     out = {}
     for name, schema in schemas.items():
-        places = [f"{path}/{version['folder']}/{name}"] if version else [f"{path}/{name}", f"{path}/{name}.parquet"]
-        found = next((p for p in places if _exists(spark, p)), None)
-        out[name] = (
-            spark.createDataFrame([], schema) if found is None else shape(spark.read.parquet(found), schema)
-        )
+        places = _places(spark, path, name, version)
+        out[name] = shape(spark.read.parquet(*places), schema) if places else spark.createDataFrame([], schema)
     return out
 
 
+def _places(spark: SparkSession, path: str, name: str, version: dict | None) -> list[str]:
+    """The folders that hold a table: those the manifest names, or what lies there without one."""
+    if version:
+        return [f"{path}/{folder}/{name}" for folder in version["tables"].get(name, [])]
+    return [p for p in (f"{path}/{name}", f"{path}/{name}.parquet") if _exists(spark, p)][:1]
+
+
 def write_project(p: Project, path: str) -> None:
     """Publish all tables or none.
 
     Tables go to a fresh folder first; a reader sees them only once the small
     manifest file that names the folder is renamed into place.
     """
-    spark = next(iter(p.values())).sparkSession
-    before = _current_version(spark, path)
+    folder = _stage(p, path)
+    _publish(next(iter(p.values())).sparkSession, path, folder, {name: [folder] for name in p})
+
+
+def _stage(p: Project, path: str) -> str:
+    """Write tables into a fresh folder that nothing names yet."""
     folder = f"data-{uuid.uuid4().hex}"
     for name, df in p.items():
         df.write.parquet(f"{path}/{folder}/{name}")
+    return folder
+
+
+def _publish(spark: SparkSession, path: str, folder: str, tables: dict[str, list[str]]) -> None:
+    """Make a state visible: one rename of a manifest that names the folders of each table."""
+    before = _current_version(spark, path)
     number = (before["number"] + 1) if before else 1
     fs, target = _filesystem(spark, f"{path}/{MANIFEST}/{number:08d}.json")
     draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}/{MANIFEST}.json")
     out = fs.create(draft)
     try:
-        out.write(bytearray(json.dumps({"folder": folder}).encode()))
+        out.write(bytearray(json.dumps({"tables": tables}).encode()))
     finally:
         out.close()
     fs.mkdirs(target.getParent())
@@ -185,6 +199,21 @@ def require_format(p: Project) -> Project:
 
 
 def write_flatcode(tables: Project, path: str) -> None:
-    """Append to the eighteen flat-code tables, creating absent ones."""
-    for name, df in conform(tables, FLATCODE).items():
-        df.write.mode("append").parquet(f"{path}/{name}")
+    """Append to the eighteen flat-code tables, creating absent ones: to all of them or to none.
+
+    The rows go to a fresh folder; the manifest that then names it beside the
+    folders there were is put in place by one rename.  Tables already at ``path``
+    without a manifest are taken over where they lie.
+    """
+    new = conform(tables, FLATCODE)
+    spark = next(iter(new.values())).sparkSession
+    before = _current_version(spark, path)
+    plain = [name for name in FLATCODE if before is None and _exists(spark, f"{path}/{name}")]
+    folder = _stage(new, path)
+    held = before["tables"] if before else {name: ["."] for name in plain}
+    _publish(spark, path, folder, {name: [*held.get(name, []), folder] for name in FLATCODE})
+
+
+def read_flatcode_project(spark: SparkSession, path: str) -> Project:
+    """The flat-code tables under ``path``, as the last whole append left them."""
+    return read_flatcode(read_project(spark, path, FLATCODE))

@@ -15,9 +15,9 @@ from codespan.plans.flatcode import export_flatcode, import_flatcode
 from codespan.plans.legacy_export import category_layouts, export_legacy
 from codespan.plans.legacy_import import import_legacy
 from codespan.schemas import CANONICAL, FLATCODE, LEGACY, SYSTEM_FOLDERS
-from codespan.sources import files
+from codespan.sources import files, objects
 from codespan.sources.project import (
-    conform, empty_project, read_flatcode, read_project, require_format, write_flatcode, write_project,
+    conform, empty_project, read_flatcode, read_flatcode_project, read_project, require_format, write_flatcode, write_project,
 )
 
 NOW = datetime(2024, 6, 1, 10, 0, 0)
@@ -163,7 +163,8 @@ def test_source_files_and_objects(spark, tmp_path):
     got = {r.Name: r for r in files.read_source_files(spark, str(tmp_path / "in"), "ISO-8859-1").collect()}
     assert got["a"].Content == "héllo" and got["b"].Content is None and got["b"].ObjectType == "PDF"
     out = str(tmp_path / "out")
-    files.export_objects(files.read_source_files(spark, str(tmp_path / "in")), "b%", out)
+    sources = files.read_source_files(spark, str(tmp_path / "in")).withColumn("Id", F.col("ObjectFile"))
+    objects.export_objects(sources, "b%", out)
     assert os.listdir(out) == ["b.pdf"] and open(f"{out}/b.pdf", "rb").read() == b"%PDF"
 
 
@@ -185,8 +186,7 @@ def test_flatcode_round_trip(spark, scenario, tmp_path):
     assert flat["project"].first().about.endswith("Imported Sat Jun  1 10:00:00 2024")
     path = str(tmp_path / "flat")
     write_flatcode(flat, path)
-    raw = {t: spark.read.parquet(f"{path}/{t}") for t in FLATCODE}
-    back = import_flatcode(read_flatcode(raw))
+    back = import_flatcode(read_flatcode_project(spark, path))
     assert rows(back["Node"], "Name") == rows(scenario["Node"], "Name")
     names = {r.Id: r.Name for r in back["NodeCategory"].collect()}
     case = back["Node"].filter("Name = 'all'").first()
