@@ -28,7 +28,7 @@ GROUPS = 64  # groups in a block of columns: a product holds the groups of two b
 COLUMNS = 1024  # indicator columns in a product
 ROWS = 8192  # terms in a product; far below 2**24, up to which float32 counts exactly
 
-SLICE = 32 << 20  # bytes of text counted at a time
+SLICE = 16 << 20  # bytes of text counted at a time
 CELL = np.dtype([("source", "<i8"), ("n", "<i4")])  # a count of one such slice, packed
 
 # Bytes of the letters: A-Z as a-z, a-z, and all of a character outside ASCII.
