@@ -29,7 +29,7 @@ from codespan.plans.legacy_import import MAC, WINDOWS, edges, items, one_edge, p
 from codespan.schemas import (
     AUDIT_COLUMNS, ITEM_TYPE, LEGACY, OBJECT_TYPES, PROPERTIES_NAMESPACE, ROLE_TYPE, SYSTEM_FOLDERS,
 )
-from codespan.session import cut
+from codespan.session import cut, settle
 from codespan.sources.project import require_format, shape
 
 Project = dict[str, DataFrame]
@@ -81,15 +81,6 @@ def _audit() -> dict[str, Column]:
     return {c: F.col(c) for c in AUDIT_COLUMNS}
 
 
-def settle(raw: Project, before: Project) -> Project:
-    """Cut the lineage of the tables a step has changed.
-
-    Every step joins the graph tables with themselves; without the cut the plan
-    would double at each of them.
-    """
-    return {name: df if before.get(name) is df else cut(df) for name, df in raw.items()}
-
-
 def _new_only(rows: DataFrame, raw: Project, key: str = "Id") -> DataFrame:
     have = raw["Item"].select(F.col("Id").alias("_have"))
     return rows.join(have, F.col(key) == F.col("_have"), "left_anti")

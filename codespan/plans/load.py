@@ -15,6 +15,7 @@ from codespan.operators import attributes as A
 from codespan.operators.merge import get_or_create, lowest_id_by_name, merge_table, upsert_values
 from codespan.operators.numbering import default_names
 from codespan.schemas import DEFAULT_DESCRIPTION
+from codespan.session import cut, settle
 from codespan.sources.project import shape
 
 Project = dict[str, DataFrame]
@@ -134,7 +135,12 @@ def load_nodes(
     exclude: list[str] | None = None,
     ignore_blank: bool = True,
 ) -> Project:
-    """Insert or update nodes by name; further columns of the sheet are attributes."""
+    """Insert or update nodes by name; further columns of the sheet are attributes.
+
+    The sheet is parsed once, and the tables that change are written, as a load is a
+    step of its own.
+    """
+    sheet = cut(sheet)
     defaults = {
         "Name": None, "Description": DEFAULT_DESCRIPTION, "Category": None, "Parent": None,
         "Aggregate": None, "Color": None,
@@ -155,12 +161,12 @@ def load_nodes(
     )
     out = ["Name", "Description", "Category", "Parent", "Aggregate", "Color"]
     values = _values(rows, "Node", columns, known, user, now) if columns else None
-    return p | {
+    return settle(p | {
         "NodeCategory": categories,
         "NodeAttribute": definitions,
         "Node": _upsert(p["Node"], final, out, user, now).unionByName(made),
         "NodeValue": upsert_values(p["NodeValue"], values, "Node") if columns else p["NodeValue"],
-    }
+    }, p)
 
 
 def assemble_text(df: DataFrame, base: str, textcols: list[str]) -> DataFrame:
@@ -218,8 +224,10 @@ def load_sources(
     """Insert or update sources by name, with text from cells, text columns or files.
 
     ``files`` is the output of ``read_source_files``; a sheet row picks one by
-    ``ObjectFile``.
+    ``ObjectFile``.  The sheet is parsed once, and the tables that change are
+    written.
     """
+    sheet = cut(sheet)
     textcols = textcols or []
     defaults = {
         "Name": None, "Description": None, "Category": None, "Color": None, "Text": None, "ObjectFile": None,
@@ -262,7 +270,8 @@ def load_sources(
         "Source": _upsert(p["Source"], final, out, user, now),
         "SourceValue": upsert_values(p["SourceValue"], values, "Source") if columns else p["SourceValue"],
     }
-    return p | changed | (_tag_text_columns(p, built, kind, textcols, user, now) if len(textcols) > 1 else {})
+    tagged = _tag_text_columns(p, built, kind, textcols, user, now) if len(textcols) > 1 else {}
+    return settle(p | changed | tagged, p)
 
 
 def _tag_text_columns(

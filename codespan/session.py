@@ -36,6 +36,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settle(tables: dict[str, DataFrame], before: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Cut the lineage of the tables that a step has changed.
+
+    Every step joins the tables of a project with each other; without the cut the
+    plan would double at each of them.
+    """
+    return {name: df if before.get(name) is df else cut(df) for name, df in tables.items()}
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal a small table out over all cores before heavy work on each row.
 
