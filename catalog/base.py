@@ -77,7 +77,7 @@ SELECT concat('d', CAST(doc_id AS STRING)) AS Id, concat('sc_', source) AS Categ
        CAST(doc_id % 256 AS INT) AS Color, text AS Content, 'TXT' AS ObjectType,
        'u1' AS CreatedBy, TIMESTAMP '2021-01-01 00:00:00' AS CreatedDate,
        'u1' AS ModifiedBy, TIMESTAMP '2021-01-02 00:00:00' AS ModifiedDate
-FROM {documents} WHERE n_chars > 0"""
+FROM {documents}"""
 
 VIEWS["v_srcattr"] = """
 SELECT * FROM (VALUES ('sa_lang', 'lang', 'text', 8), ('sa_chars', 'n_chars', 'integer', 0),

@@ -242,8 +242,9 @@ def system_values(d):
 )
 def assign_values_overwrite(d):
     raw = legacy_raw(d, "mac")
-    assigned = d["v_nodevalue"].filter(F.col("Attribute") == "na_label").select(
-        F.col("Node").alias("Item"), F.lit("c").alias("Category"), "Attribute", F.lit("new label").alias("Value")
+    assigned = d["v_nodevalue"].select(
+        F.col("Node").alias("Item"), F.lit("c").alias("Category"), "Attribute",
+        F.when(F.col("Attribute") == "na_label", "new label").otherwise(F.col("Value")).alias("Value"),
     )
     out = legacy_export.assign_values(raw, assigned, "overwrite")
     names = out["Item"].select(F.col("Id").alias("i"), F.col("Name").alias("Value"))
@@ -257,13 +258,10 @@ def assign_values_overwrite(d):
 
 @query(
     "uncategorised_values",
-    """SELECT v.Node, v.Attribute, v.Value FROM {v_nodevalue} v WHERE v.Attribute = 'na_bal'""",
+    """SELECT v.Node, v.Attribute, v.Value FROM {v_nodevalue} v""",
 )
 def uncategorised_values(d):
-    p = d.project("NodeValue")
-    raw = legacy_base(d, "mac")
-    some = p | {"NodeValue": p["NodeValue"].filter(F.col("Attribute") == "na_bal")}
-    return legacy_export.uncategorised_values(some, raw, "Node")
+    return legacy_export.uncategorised_values(d.project("NodeValue"), legacy_base(d, "mac"), "Node")
 
 
 @query(
@@ -285,11 +283,8 @@ def limited_sources(d):
 
 @query(
     "nonblank_text_sources",
-    "SELECT Id, length(Content) AS n FROM {v_source} WHERE Category = (SELECT min(Id) FROM {v_srccat})",
+    "SELECT Id, length(Content) AS n FROM {v_source}",
 )
 def nonblank_text_sources(d):
-    p = d.project("Source", "SourceCategory")
-    first = p["SourceCategory"].select(F.min("Id")).scalar()
-    named = p["SourceCategory"].withColumn("first", first).filter(F.col("Id") == F.col("first")).withColumn("Name", F.lit("wanted"))
-    rows = Q.filter_sources(p | {"SourceCategory": named.drop("first")}, category="wanted")
+    rows = Q.filter_sources(d.project("Source", "SourceCategory"))
     return rows.select("Id", F.length(T.strip_final_newline(F.concat("Content", F.lit("\n")))).cast("long").alias("n"))

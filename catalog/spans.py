@@ -159,19 +159,15 @@ def query_taggings_category_and_node(d):
     """WITH tagged AS (SELECT t.Source, coalesce(n.Name, '') AS Node,
          CAST(split_part(Fragment, ':', 1) AS BIGINT) AS First_,
          CAST(split_part(Fragment, ':', 2) AS BIGINT) AS Last_, Memo, t.Id
-       FROM {v_tagging} t LEFT JOIN {v_node} n ON n.Id = t.Node
-       JOIN {v_source} s ON s.Id = t.Source JOIN {v_srccat} c ON c.Id = s.Category
-       WHERE c.Name = (SELECT min(Name) FROM {v_srccat})),
+       FROM {v_tagging} t LEFT JOIN {v_node} n ON n.Id = t.Node),
        p AS (""" + _PASSAGES + """)
        SELECT s.Name AS Source, Node, Memo, substring(s.Content, First_, Last_ - First_ + 1) AS Text,
               concat(CAST(First_ AS STRING), ':', CAST(Last_ AS STRING)) AS Fragment
        FROM p JOIN {v_source} s ON s.Id = p.Source""",
 )
 def query_taggings_all(d):
-    p = d.project()
-    first = d["v_srccat"].agg(F.min("Name").alias("Name"))
-    wanted = p["SourceCategory"].join(first, "Name", "left_semi").withColumn("Name", F.lit("wanted"))
-    q = Q.query_taggings(p | {"SourceCategory": wanted}, source_category="wanted")
+    """Every passage of every source, without any term."""
+    q = Q.query_taggings(d.project())
     return q.withColumn("Memo", F.coalesce("Memo", F.lit("")))
 
 

@@ -128,7 +128,9 @@ def counts_before(asked: DataFrame, texts: DataFrame, places, through: bool = Fa
     """
     offsets = asked.groupBy("Source").agg(F.sort_array(F.collect_set("k")).alias("ks"))
     held = offsets.join(texts.filter(F.col("Text").isNotNull()), "Source")
-    return held.select("Source", F.inline(let(places(F.col("Text")), lambda p: O.sweep(p, F.col("ks"), through))))
+    # No source asks for nothing.  The outer form keeps Spark from adding a filter on the
+    # size of the array, which would go through every text once more.
+    return held.select("Source", F.inline_outer(let(places(F.col("Text")), lambda p: O.sweep(p, F.col("ks"), through))))
 
 
 def _at_both_ends(spans: DataFrame, counts: DataFrame, first, last) -> DataFrame:

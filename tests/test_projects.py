@@ -15,6 +15,7 @@ from codespan.plans.flatcode import export_flatcode, import_flatcode
 from codespan.plans.legacy_export import category_layouts, export_legacy
 from codespan.plans.legacy_import import import_legacy
 from codespan.schemas import CANONICAL, FLATCODE, LEGACY, SYSTEM_FOLDERS
+from codespan.session import cut
 from codespan.sources import files, objects
 from codespan.sources.project import (
     conform, empty_project, read_flatcode, read_flatcode_project, read_project, require_format, write_flatcode, write_project,
@@ -209,14 +210,31 @@ def test_legacy_round_trip(spark, scenario, platform):
     assert layout.count("<Row ") == 2 and layout.endswith("</CategoryLayout>")
 
 
-def test_composed_conversions(spark, scenario):
-    base = base_project(spark, True)
-    raw = export_legacy(scenario, base, actions=Actions(project="overwrite"))
-    flat = legacy_to_flatcode(raw, NOW)
+@pytest.fixture(scope="module")
+def exported(spark, scenario):
+    """The scenario as graph tables, written once as a store would hold them."""
+    raw = export_legacy(scenario, base_project(spark, True), actions=Actions(project="overwrite"))
+    return {name: cut(df) for name, df in raw.items()}
+
+
+def test_graph_to_flat_code(spark, exported, tmp_path):
+    path = str(tmp_path / "flat")
+    write_flatcode(legacy_to_flatcode(exported, NOW), path)
+    flat = read_project(spark, path, FLATCODE)
     assert rows(flat["source"], "name") == [("2",), ("hello",)]
-    into = flatcode_to_legacy(flat, base)
+    assert rows(flat["cases"], "name") == [("all",)]
+    assert flat["coding"].count() + flat["caselinkage"].count() == 2 and flat["annotation"].count() == 1
+
+
+def test_flat_code_to_graph(spark, scenario, tmp_path):
+    path = str(tmp_path / "flat")
+    write_flatcode(export_flatcode(scenario, NOW), path)
+    into = flatcode_to_legacy(read_project(spark, path, FLATCODE), base_project(spark, True))
     assert into["NodeReference"].count() == 2 and into["Annotation"].count() == 1
-    other = legacy_to_legacy(raw, base_project(spark, False), "windows", "mac")
+
+
+def test_graph_to_graph_of_another_platform(spark, exported):
+    other = legacy_to_legacy(exported, base_project(spark, False), "windows", "mac")
     assert rows(other["Item"].filter("TypeId = 16"), "Name") == [("all",), ("child",), ("leaf",), ("top",)]
 
 
