@@ -19,7 +19,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     Those with the smallest hashes of their doc_id are taken, which is a random
     sample that is the same on every run.  ``weight`` is how many labelled rows of
     the class each stands for.  Labels other than 0 and 1 and null doc_ids are
-    left out; of a doc_id's several labels or texts the largest counts.
+    left out; of a doc_id's several labels the largest counts, and of its several
+    texts that of the largest text key, in whatever order rows come.
     """
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
@@ -35,5 +36,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
         chosen = part if chosen is None else chosen.union(part)
     chosen = F.broadcast(chosen.select(F.col("doc_id").alias("l_id"), "label", "weight"))  # 2 * per_class rows
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    found = texts.join(chosen, F.col("doc_id") == F.col("l_id")).withColumn("key", text_key())
-    return found.dropDuplicates(["doc_id"]).select("doc_id", "text", "label", "weight")
+    found = texts.join(chosen, F.col("doc_id") == F.col("l_id"))
+    one = F.max_by(F.struct("text", "label", "weight"), F.struct(text_key().alias("key"), F.col("text")))
+    return found.groupBy("doc_id").agg(one.alias("row")).select("doc_id", "row.*")

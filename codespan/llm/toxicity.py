@@ -154,10 +154,18 @@ class BlockMaxIndex:
         self.ids = np.lexsort((heaviest, -np.count_nonzero(vectors, axis=1)))
         n = -(-len(vectors) // BLOCK) * BLOCK
         self.weights = np.zeros((vectors.shape[1], n), np.float32)
-        self.weights[:, : len(vectors)] = vectors[self.ids].T
+        for b in range(0, len(vectors), BLOCK):
+            self.weights[:, b : b + BLOCK][:, : len(vectors) - b] = vectors[self.ids[b : b + BLOCK]].T
         self.size = len(vectors)
         self.most = self.weights.reshape(vectors.shape[1], n // BLOCK, BLOCK).max(axis=2)
 
+    @classmethod
+    def of(cls, parts: dict) -> BlockMaxIndex:
+        """The index with these attributes: what travels to tasks is plain arrays, not this class."""
+        index = cls.__new__(cls)
+        vars(index).update(parts)
+        return index
+
     def nearest(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of highest cosine, ties by place in the index, and their cosines."""
         words = np.flatnonzero(query)
@@ -224,7 +232,7 @@ def fit(docs: DataFrame, sample: DataFrame) -> dict:
     toxic_plain = float((weight * label)[plain].sum())
     return {
         "words": words, "hashes": hashes[order], "order": order, "table": table, "rarity": rarity,
-        "index": BlockMaxIndex(own[~plain]), "label": label[~plain], "weight": weight[~plain],
+        "index": vars(BlockMaxIndex(own[~plain] if plain.any() else own)), "label": label[~plain], "weight": weight[~plain],
         "doc_id": rows["doc_id"].to_numpy()[~plain],
         # Texts without any word are as near to each other as can be: all of them vote.
         "plain": toxic_plain / float(weight[plain].sum()) if plain.any() else 0.0,
@@ -234,17 +242,18 @@ def fit(docs: DataFrame, sample: DataFrame) -> dict:
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
+        index = BlockMaxIndex.of(m["index"])
         for batch in batches:
             for part in H.slices(batch, "text", 2 << 20):
                 counts = term_counts(part.column("text"), m["hashes"], m["order"], m["table"])
                 score = np.full(len(counts), m["plain"])
                 words: list[list[str]] = [[] for _ in score]
                 near: list[list[int]] = [[] for _ in score]
-                full = np.flatnonzero(counts.any(axis=1)) if m["index"].size else np.zeros(0, np.int64)
+                full = np.flatnonzero(counts.any(axis=1)) if index.size else np.zeros(0, np.int64)
                 for b in range(0, len(full), QUERIES):
                     own = full[b : b + QUERIES]
                     query = vectors(counts[own], m["rarity"])
-                    ids, cosine = m["index"].nearest_each(query, NEIGHBOURS)
+                    ids, cosine = index.nearest_each(query, NEIGHBOURS)
                     cosine = np.clip(cosine.astype(np.float64), 1e-6, 1)
                     # An example that is the text itself outvotes all that are merely like it.
                     power = cosine**2 / (1 - cosine + NEAREST) * m["weight"][ids]

@@ -378,3 +378,25 @@ def test_block_max_index_is_exact():
     for q in x[::20]:
         _, cosine = index.nearest(q, 10)
         assert np.allclose(cosine, np.sort(x @ q)[::-1][:10], atol=1e-5)
+
+
+def test_models_travel_without_this_package(spark, labelled):
+    import pickle
+
+    from codespan.llm.labelled import labelled_sample
+
+    texts, labels = labelled
+    sample = labelled_sample(texts, labels, "toxic", 50, F.lit(True))
+    assert b"codespan" not in pickle.dumps(toxicity.fit(texts, sample))
+
+
+def test_samples_do_not_depend_on_the_order_of_rows(spark):
+    from codespan.llm.labelled import labelled_sample
+
+    rows = [(i % 20, f"text {i}", "en", "s", 0) for i in range(100)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], LABELS)
+    taken = [
+        sorted(map(tuple, labelled_sample(spark.createDataFrame(own, DOCS).repartition(n), labels, "quality", 30, F.lit(True)).collect()))
+        for own, n in ((rows, 1), (rows[::-1], 7))
+    ]
+    assert taken[0] == taken[1] and len(taken[0]) == 20
