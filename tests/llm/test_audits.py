@@ -251,3 +251,23 @@ def test_native_queries_have_no_python_workers(spark):
 
     plan = queries.op13_entropy_secrets(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|InArrow", plan)
+
+
+# Queries that SQL cannot express, and the tests that hold them against something else.
+HELD_OTHERWISE = {
+    "op1_quality_knn": "test_classifiers_on_held_out_rows",
+    "op3_sentence_spans": "test_repeated_passages_go_where_they_are_not_first",
+    "op4_toxicity_knn": "test_nearest_of_a_batch_is_exact",
+    "op5_pfair_mix": "test_mixing_keeps_the_exact_weights_over_the_whole_run",
+    "op9_token_counts": "test_token_counts_are_the_library_s",
+    "op12_rank_one_whitening": "test_whitening_matches_brute_force",
+}
+
+
+def test_every_query_without_sql_is_held_against_something():
+    from tests.llm import test_operators
+
+
+    assert set(queries.QUERIES) - set(queries.ORACLE) == set(HELD_OTHERWISE)
+    for test in HELD_OTHERWISE.values():
+        assert test in globals() or hasattr(test_operators, test), test
