@@ -27,3 +27,10 @@ def test_frequent_runs_equal_python_and_write_no_words(spark):
     for (source, start, run, k), phrase in taken.items():
         before = taken.get((source, start, run, k - 1), "")
         assert phrase in want and not before.endswith(" " + phrase)
+
+
+def test_a_text_given_twice_doubles_its_words_alone(spark):
+    df = spark.createDataFrame([("s", "red tea"), ("s", "red tea"), ("t", "red tea")], "Id string, Content string")
+    occurrences, counts = TG.frequent_runs(df, 2)
+    assert {r.Phrase: r.n for r in counts.collect()} == {"red": 3, "tea": 3, "red tea": 2}
+    assert sorted((r.Source, r.Phrase) for r in occurrences.collect()) == [("s", "red tea"), ("t", "red tea")]
