@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from codespan.functions.bind import let
+from codespan.session import stored
 
 # What a line can be in the middle of, and what a quote there leads to: inside a
 # plain cell it is a character, at the start of a cell it opens one, inside a
@@ -111,14 +112,19 @@ def sheet_records(spark: SparkSession, path: str, comments: str = "anywhere") ->
         .select(F.col("_file").alias("_rf"), F.col("_block").alias("_rb"), "_quoted", "_offset")
     )
     # The lines of a record share its number; a range's lines before its first record belong to the last one.
-    placed = both.join(ranges, (F.col("_file") == F.col("_rf")) & (F.col("_block") == F.col("_rb")))
-    numbered = placed.filter(own("_first") | own("_in")).select(
-        F.col("_file").alias("file"), (own("_upto") + F.col("_offset") - 1).alias("number"), "_block", "_n", "value"
-    )
-    return numbered.groupBy("file", "number").agg(
+    # A line followed in its range by the beginning of another record is a record whole, and most are.
+    follows = lambda i: F.lead(f"_first{i}").over(inside)
+    ahead = both.withColumns({f"_next{i}": F.coalesce(follows(i), F.lit(False)) for i in range(2)})
+    placed = ahead.join(ranges, (F.col("_file") == F.col("_rf")) & (F.col("_block") == F.col("_rb")))
+    numbered = stored(placed.filter(own("_first") | own("_in")).select(
+        F.col("_file").alias("file"), (own("_upto") + F.col("_offset") - 1).alias("number"), "_block", "_n", "value",
+        (own("_first") & own("_next")).alias("_whole"),
+    ))
+    broken = numbered.filter(~F.col("_whole")).groupBy("file", "number").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_block", "_n", "value"))), lambda x: x["value"]), "\n")
         .alias("record")
     )
+    return numbered.filter("_whole").select("file", "number", F.col("value").alias("record")).unionByName(broken)
 
 
 def sheet_rows(spark: SparkSession, path: str, comments: str = "anywhere") -> DataFrame:

@@ -78,3 +78,15 @@ def test_several_files_headers_and_nothing(spark, tmp_path):
     only.write_text("Name,v\n")
     empty = files.read_table_csv(spark, str(only))
     assert empty.columns == ["Name", "v", "Row"] and empty.count() == 0
+
+
+def test_a_record_of_one_line_is_not_grouped(spark, tmp_path):
+    from codespan.sources.sheets import sheet_records
+
+    (tmp_path / "s.csv").write_text('a,b\n1,x\n2,"y\n#z"\n\n# no\n3,w\n4,"v\n', newline="")
+    records = sheet_records(spark, str(tmp_path / "s.csv"))
+    got = {r.number: r.record for r in records.collect()}
+    assert got == {0: "a,b", 1: "1,x", 2: '2,"y\n#z"', 3: "3,w", 4: '4,"v'}
+    # Only lines of broken records meet in a group, and lines are placed once for all uses.
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "Window" not in plan
