@@ -1,5 +1,7 @@
 """Offsets are looked up in an array made from each text."""
 
+from pyspark.sql import functions as F
+
 from codespan.operators import spans as S
 
 
@@ -21,6 +23,8 @@ def test_offsets_are_looked_up_in_the_text(spark):
     spans = spark.createDataFrame([("s", k, n) for k, n in asked], "Source string, StartText long, LengthText long")
     found = S.nonspace_to_char(spans, texts)
     assert "collect_set" not in plan(found)
+    files = spark.range(9).select(F.col("id").cast("string").alias("Source"), F.lit("a b").alias("PlainText"))
+    assert "BroadcastHashJoin" not in plan(S.nonspace_to_char(spans, files))
     assert {(r.StartText, r.LengthText): (r.StartX, r.LengthX) for r in found.collect()} == {
         (k, n): brute(content, k, n) for k, n in asked}
     edges = spark.createDataFrame([("e", 0, 2), ("n", 1, 2), ("x", 1, 2), (None, 1, 2), ("s", None, 2), ("s", 3, None)],
