@@ -57,6 +57,24 @@ def test_one_hot_group_collapses_before_the_window(spark):
     assert [tuple(r) for r in S.merge_spans(df, ["Source", "Node"]).collect()] == [("s", "x", 0, 502)]
 
 
+def test_merging_holds_no_table_of_merged_spans(spark):
+    spans = [("s", "x", 0, 4), ("s", "x", 2, 9), ("s", None, 3, 5), ("s", None, 4, 4), ("s", "x", 9, 12)]
+    merged = S.merge_spans(frame(spark, spans), ["Source", "Node"])
+    assert {tuple(r) for r in merged.collect()} == {("s", "x", 0, 9), ("s", "x", 9, 12), ("s", None, 3, 5)}
+    # Only the spans of one start are aggregated; what is merged is read off the sorted rows.
+    assert merged._jdf.queryExecution().optimizedPlan().toString().count("Aggregate ") == 1
+
+
+def test_spans_without_a_start_or_an_end_merge_as_rows_in_order(spark):
+    cells = [("a", None, 5, "n"), ("a", 2, 4, "p"), ("a", 7, 9, "q"), ("b", None, 3, "n"), ("b", 6, 8, "p"),
+             ("c", 1, None, "p"), ("c", 2, 5, "q"), ("d", 4, 10, "p"), ("d", 12, 6, "q"), ("d", 13, 15, "r")]
+    df = spark.createDataFrame(cells, "Source string, start0 long, end0 long, Memo string")
+    rows = S.merge_spans(df, ["Source"], first=["Memo"]).collect()
+    assert {tuple(r) for r in rows} == {
+        ("a", 2, 5, "p"), ("a", 7, 9, "q"), ("b", None, 3, None), ("b", 6, 8, "p"), ("c", 1, None, "p"), ("c", 2, 5, "q"),
+        ("d", 4, 10, "p"), ("d", 12, 6, "q"), ("d", 13, 15, "r")}
+
+
 def test_terms_match_pairwise_fold(spark):
     rng = random.Random(2)
     spans = random_spans(rng, 250)
