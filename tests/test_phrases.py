@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from codespan.operators import tagging as TG
 
 
@@ -34,3 +36,25 @@ def test_a_text_given_twice_doubles_its_words_alone(spark):
     occurrences, counts = TG.frequent_runs(df, 2)
     assert {r.Phrase: r.n for r in counts.collect()} == {"red": 3, "tea": 3, "red tea": 2}
     assert sorted((r.Source, r.Phrase) for r in occurrences.collect()) == [("s", "red tea"), ("t", "red tea")]
+
+
+def test_pairs_are_counted_without_places_and_equal_the_pattern(spark):
+    word = r"[\p{L}\p{M}]"
+    stop = rf"(?!(?:{'|'.join(TG.STOP_WORDS)})(?!{word}))"
+    pattern = rf"(?<!{word})(?=({stop}{word}++ +{stop}{word}++))"
+    rng = random.Random(3)
+    bits = ["red", "tea", "the", "them", "Été", "a\u0301b", "cup,", "x1y", ".", "  ", "\n", "\r", "\u2028", "日本 日本", "it's", "!?", "\t"]
+    texts = ["", " \r", "..lead one", "red tea \r\n", "tail \r", None] + [
+        " ".join(rng.choice(bits) for _ in range(rng.randrange(40))) for _ in range(60)]
+    df = spark.createDataFrame([(f"s{i}", t) for i, t in enumerate(texts)], "Id string, Content string")
+    by_pattern = lambda text: F.regexp_extract_all(F.regexp_replace(text, " +", " "), F.lit(pattern), F.lit(1))
+    line = F.col("Sentence")
+    for r in TG.sentences(df).select("Sentence", TG.word_pairs(line).alias("got"), by_pattern(line).alias("want")).collect():
+        assert r.got == r.want, r
+    for own, told in ((TG.word_pairs, by_pattern), (lambda text: F.array(text), lambda text: F.array(text))):
+        counts = TG.phrase_frequency(df, extractor=own)
+        want = Counter(r.Phrase for r in TG.phrase_occurrences(df, told).collect())
+        assert {r.Phrase: r.n for r in counts.collect()} == want
+        assert "posexplode" not in counts._jdf.queryExecution().optimizedPlan().toString()
+    found = {r.Id: (r.start0, r.end0, r.Sentence) for r in TG.sentences(df).filter("Id in ('s2', 's3', 's4')").collect()}
+    assert found == {"s2": (2, 10, "lead one"), "s3": (0, 8, "red tea\r"), "s4": (0, 5, "tail\r")}
