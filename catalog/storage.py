@@ -141,7 +141,7 @@ def exported_objects(d):
         F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("Object"),
     )
     objects.export_objects(sources, "doc%", path)
-    back = d.spark.read.format("binaryFile").load(path)
+    back = objects.read_objects(d.spark, path)
     return back.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.md5("content").alias("digest"))
 
 

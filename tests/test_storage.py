@@ -52,6 +52,15 @@ def test_a_failed_export_leaves_nothing(spark, tmp_path):
         files for _, _, files in os.walk(out))
 
 
+def test_many_small_objects_are_read_by_few_tasks(spark, tmp_path):
+    most = objects.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    for i in range(35 * most):
+        (tmp_path / f"{i}.txt").write_bytes(str(i).encode())
+    back = objects.read_objects(spark, str(tmp_path))
+    assert {bytes(r.content) for r in back.collect()} == {str(i).encode() for i in range(35 * most)}
+    assert back.rdd.getNumPartitions() <= most < spark.read.format("binaryFile").load(str(tmp_path)).rdd.getNumPartitions()
+
+
 def test_an_append_that_fails_shows_nothing(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "flat")
     row = lambda n: {"cases": spark.createDataFrame([(n,)], "name string"), "freecode": spark.createDataFrame([(n,)], "name string")}
