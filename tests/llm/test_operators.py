@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,6 +102,40 @@ def test_jaccard_join_of_a_group_of_near_copies_without_a_centre(spark, monkeypa
     assert Counter(map(tuple, got.drop("text_key").collect())) == Counter(brute_components(rows))
 
 
+def test_sketches_never_differ_more_than_their_sets():
+    r = random.Random(4)
+    sets = [set()]
+    for size in (1, 2, 31, 33, 40, 300, 5000):
+        base = [r.getrandbits(64) for _ in range(size)]
+        sets += [set(base), set(base[: size * 4 // 5]), {*base[size // 3 :], *(r.getrandbits(64) for _ in range(size))}]
+    least = jaccard_join.least_difference([jaccard_join.sketch(np.array(sorted(s), np.uint64)) for s in sets])
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            assert least[i, j] == least[j, i] <= len(a ^ b)
+    assert least[1:, 1:].max() > 5000 // 2
+
+
+def test_sets_that_only_share_their_prefix_do_not_travel_whole(spark, monkeypatch):
+    r = random.Random(6)
+    rows = []
+    for i in range(80):  # two texts with half of their words in common, far from similar
+        common = " ".join(f"c{i}x{r.randrange(10**6)}" for _ in range(45))
+        rows += [(2 * i + k, common + "".join(f" o{i}y{r.randrange(10**6)}" for _ in range(25)), "en", "s", 0)
+                 for k in range(2)]
+    rows += [(1000 + i, prose(random.Random(1), 80), "en", "s", 0) for i in range(2)]
+    rows.append((1002, prose(random.Random(1), 80) + " more", "en", "s", 0))
+    met, links = [], jaccard_join.JaccardJoin.links
+
+    def counted(self, members):
+        met.append(members.select("sig").distinct().count())
+        return links(self, members)
+
+    monkeypatch.setattr(jaccard_join.JaccardJoin, "links", counted)
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, DOCS))
+    assert Counter(map(tuple, got.drop("text_key").collect())) == Counter(brute_components(rows))
+    assert met == [2, 0]
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 99), (7, 7)], "a long, b long")
     got = dict(map(tuple, components(links).collect()))
