@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -58,3 +59,36 @@ def test_pairs_are_counted_without_places_and_equal_the_pattern(spark):
         assert "posexplode" not in counts._jdf.queryExecution().optimizedPlan().toString()
     found = {r.Id: (r.start0, r.end0, r.Sentence) for r in TG.sentences(df).filter("Id in ('s2', 's3', 's4')").collect()}
     assert found == {"s2": (2, 10, "lead one"), "s3": (0, 8, "red tea\r"), "s4": (0, 5, "tail\r")}
+
+
+def test_longest_runs_of_any_length_equal_python(spark):
+    rng = random.Random(5)
+    passage = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
+    texts = [passage, f"{passage} nu", f"xi {passage}", "spam " * 17 + "."]
+    for _ in range(40):
+        words = [rng.choice(["red", "tea", "the", "hot", "big", "cup,"]) for _ in range(rng.randrange(25))]
+        texts.append(" ".join(words) + rng.choice(["", ". ", ".\n"]) + rng.choice(["", passage[: rng.randrange(60)], "red tea hot big red tea hot big"]))
+    rows = [(f"s{i}", t) for i, t in enumerate(texts)] + [("s0", passage)]
+    for threshold in (1, 2, 3, 7):
+        pieces = {}
+        for r in TG.sentences(spark.createDataFrame(sorted(set(rows)), "Id string, Content string")).collect():
+            for run, piece in enumerate(re.findall("[a-z ]+", r.Sentence)):
+                pieces[r.Id, r.start0, r.end0, run] = [None if w in TG.STOP_WORDS else w for w in piece.split()]
+        copies = Counter(i for i, _ in rows)
+        count = Counter()
+        at = {}
+        for key, words in pieces.items():
+            for k in range(len(words)):
+                for size in range(1, len(words) - k + 1):
+                    phrase = words[k : k + size]
+                    if None not in phrase:
+                        at[(*key, k, size)] = " ".join(phrase)
+                        count[" ".join(phrase)] += copies[key[0]] if size == 1 else 1
+        often = {place for place, phrase in at.items() if count[phrase] >= threshold}
+        want = Counter()
+        for *place, k, size in often:
+            if (*place, k, size + 1) not in often and (*place, k - 1, size + 1) not in often:
+                want[(*place, k, at[(*place, k, size)])] += copies[place[0]] if size == 1 else 1
+        got = TG.longest_runs(spark.createDataFrame(rows, "Id string, Content string"), threshold)
+        assert Counter((r.Source, r.start0, r.end0, r.run, r.k, r.Phrase) for r in got.collect()) == want
+        assert max(len(key[-1].split()) for key in want) > 4
