@@ -14,3 +14,12 @@ def test_default_fill_pairs_stay_where_they_are_made(spark):
     # No join asks for the pairs by item and attribute.
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" not in plan
+
+
+def test_default_fill_sends_no_slices_of_defaults_to_every_task(spark):
+    members = spark.createDataFrame([("c", "i")], "Category string, Item string")
+    defaults = spark.range(500).selectExpr("substring('cd', cast(id % 2 as int) + 1, 1) as Category", "id as Attribute", "cast(id as string) as Default")
+    got = A.default_fill(members, defaults, spark.createDataFrame([("i", 8)], "Item string, Attribute long"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [Category" in plan and "BroadcastHashJoin [Category" not in plan
+    assert got.count() == 249
