@@ -19,6 +19,7 @@ from codespan.session import stored
 # quoted cell it closes it, and after such it was one of a doubled pair.
 PLAIN, FRESH, QUOTED, CLOSED = range(4)
 AFTER_QUOTE = [PLAIN, QUOTED, CLOSED, QUOTED]
+RANGE_BITS = 16  # a range holds 65,536 lines of a file split at most, however large splits are
 
 
 def ends_quoted(line: Column, begins_quoted: bool) -> Column:
@@ -53,11 +54,14 @@ def _carried(window, known: Column, flips: Column, begin: Column) -> Column:
 
 
 def _lines(spark: SparkSession, path: str, comments: str) -> DataFrame:
-    """_file, _block, _at, value of every line below the comments at the top of its file."""
+    """_file, _block (of the range), _at, value of every line below the comments at the top of its file."""
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_at"), "value",
     )
+    # A line takes a byte at least, so ranges number from the split's first byte on and never reach the next split's.
+    line = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    lines = lines.withColumn("_block", F.col("_block") + F.shiftright(line, RANGE_BITS))
     if comments != "top":
         return lines
     head = lines.filter(~F.col("value").startswith("#")).groupBy(F.col("_file").alias("_f")).agg(

@@ -90,3 +90,14 @@ def test_a_record_of_one_line_is_not_grouped(spark, tmp_path):
     # Only lines of broken records meet in a group, and lines are placed once for all uses.
     plan = records._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" in plan and "Window" not in plan
+
+
+def test_a_split_of_many_lines_is_several_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sheets, "RANGE_BITS", 2)
+    rows = [(f"k{i}", f'a "{i}"\n\n,b' if i % 3 == 0 else "plain") for i in range(40)]
+    quoted = lambda v: '"' + v.replace('"', '""') + '"'
+    (tmp_path / "s.csv").write_text("".join(f"{quoted(a)},{quoted(b)}\n" for a, b in [("k", "v"), *rows]))
+    lines = sheets._lines(spark, str(tmp_path), "anywhere")
+    assert lines.groupBy("_block").count().agg({"count": "max"}).first()[0] == 4
+    got = sheets.sheet_rows(spark, str(tmp_path)).orderBy("Row").collect()
+    assert [(r.k, r.v) for r in got] == rows and [r.Row for r in got] == list(range(1, 41))
